@@ -53,8 +53,17 @@ def _defaulters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.dim_defaulters(_bronze(spark, sf_dir)).drop("_transformed_at")
 
 
+def _silver_of(held: DataFrame) -> list[DataFrame]:
+    return [
+        silver.dim_customers(held, LOAD_DATE),
+        silver.fact_loans(held),
+        silver.fact_repayments(held),
+        silver.dim_defaulters(held),
+    ]
+
+
 def _silver(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    return [make(spark, sf_dir) for make in (_customers, _loans, _repayments, _defaulters)]
+    return _silver_of(_bronze(spark, sf_dir))
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,10 +74,24 @@ def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.credit_risk_scores(*_silver(spark, sf_dir)).drop("_scored_at")
 
 
+def _loans_and_scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    tables = _silver(spark, sf_dir)
+    return tables[1], gold.credit_risk_scores(*tables)
+
+
+def _two(first: int, second: int, join: Callable[[DataFrame, DataFrame], DataFrame], *columns: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = _silver(spark, sf_dir)
+        return join(tables[first], tables[second]).select(*columns)
+
+    return run
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    customers, loans, repayments, defaulters = _silver(spark, sf_dir)
+    held = _bronze(spark, sf_dir)
+    customers, loans, repayments, defaulters = _silver_of(held)
     return {
-        c.RAW_LOANS: _bronze(spark, sf_dir),
+        c.RAW_LOANS: held,
         c.DIM_CUSTOMERS: customers,
         c.FACT_LOANS: loans,
         c.FACT_REPAYMENTS: repayments,
@@ -281,14 +304,17 @@ QUERIES: dict[str, Query] = {
         "member_id", "compound_risk_indicator",
     ),
     # joins
-    "join_loans_customers": lambda s, d: gold.join_loans_customers(_loans(s, d), _customers(s, d)).select(
-        "loan_id", "member_id", "loan_amount", "annual_income", "grade", "emp_category"
+    "join_loans_customers": _two(
+        1, 0, gold.join_loans_customers,
+        "loan_id", "member_id", "loan_amount", "annual_income", "grade", "emp_category",
     ),
-    "join_repayments": lambda s, d: gold.join_facts(_loans(s, d), _repayments(s, d)).select(
-        "loan_id", "member_id", "loan_amount", "monthly_installment", "total_payment_received"
+    "join_repayments": _two(
+        1, 2, gold.join_facts,
+        "loan_id", "member_id", "loan_amount", "monthly_installment", "total_payment_received",
     ),
-    "join_defaulters_left": lambda s, d: gold.join_defaulters(_loans(s, d), _defaulters(s, d)).select(
-        "loan_id", "member_id", "loan_amount", "delinq_2yrs", "default_risk_tier"
+    "join_defaulters_left": _two(
+        1, 3, gold.join_defaulters,
+        "loan_id", "member_id", "loan_amount", "delinq_2yrs", "default_risk_tier",
     ),
     "gold_join": _joined,
     # scoring
@@ -325,6 +351,6 @@ QUERIES: dict[str, Query] = {
     "full_run": stored_full_run,
     # later loads and summaries
     "incremental_append": incremental_append,
-    "vintage_summary": lambda s, d: reports.vintage_summary(_loans(s, d), _scores(s, d)),
+    "vintage_summary": lambda s, d: reports.vintage_summary(*_loans_and_scores(s, d)),
     "region_summary": lambda s, d: reports.region_summary(_scores(s, d)),
 }

@@ -61,19 +61,18 @@ class QualityLimits:
 
 @dataclass(frozen=True)
 class SkewConfig:
-    """When a join key counts as hot.
+    """How joins treat keys that hold many rows (see `operators.skew`).
 
-    A key is hot when it holds more than `share` of the rows and more than `min_rows` rows. At most
-    `1 / share` keys can pass the first test, whatever the data size, so the list of hot keys is
-    always small enough to broadcast.
+    A key with more than `slice_rows` rows is split into slices of about that size. The list of
+    such keys is broadcast, so its length is bounded by `max_hot_keys`.
     """
 
-    share: float = 1.0 / 10_000
-    min_rows: int = 1_000_000
+    slice_rows: int = 1_000_000
+    max_hot_keys: int = 50_000
 
     def __post_init__(self) -> None:
-        if not 0.0 < self.share < 1.0 or self.min_rows < 1:
-            raise ValueError(f"share must lie in (0, 1) and min_rows be positive: {self}")
+        if self.slice_rows < 1 or self.max_hot_keys < 1:
+            raise ValueError(f"both settings must be positive: {self}")
 
 
 @dataclass(frozen=True)

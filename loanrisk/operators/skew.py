@@ -5,13 +5,14 @@ every row of the large side picks a slice from its own `spread` column, and the
 the other side are repeated once per slice. Both sides then join on (key, slice). Nothing is
 dropped and no row is matched twice.
 
-The list of hot keys has at most `1 / share` rows and the repeated rows number at most
-`2 / share` per table with a unique key, whatever the data size, so the list is safe to broadcast.
+The list of hot keys has at most `max_hot_keys` rows, whatever the data size, so it is safe to
+broadcast. Keys are taken by falling row count: every key that holds more than one in
+`max_hot_keys` of the rows is on the list, and the rest are joined as usual.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanrisk.config import SkewConfig
@@ -21,15 +22,19 @@ SLICES = "_slices"
 
 
 def hot_keys(df: DataFrame, key: str, config: SkewConfig = SkewConfig()) -> DataFrame:
-    """The hot keys of `df` with the number of slices for each: columns `key` and `_slices`.
+    """The keys of `df` with most rows and the number of slices for each: columns `key`, `_slices`.
 
-    One aggregation with map-side partial counts; it reads the key column only.
+    One aggregation with map-side partial counts, reading the key column only. Keys that tie on
+    the row count are ordered by value: every use of the list must see the same keys.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    bound = F.greatest(total * F.lit(config.share), F.lit(float(config.min_rows)))
-    return counts.where(F.col("_n") > bound).select(
-        key, F.ceil(F.col("_n") / bound).cast("int").alias(SLICES)
+    return (
+        df.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > config.slice_rows)
+        .orderBy(F.desc("_n"), key)
+        .limit(config.max_hot_keys)
+        .select(key, F.ceil(F.col("_n") / config.slice_rows).cast("int").alias(SLICES))
     )
 
 
@@ -49,7 +54,7 @@ def scatter(df: DataFrame, hot: DataFrame, key: str, spread: str) -> DataFrame:
 
 def repeat_per_slice(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     """Repeat each row of the other side once per slice of its key."""
-    last: Column = F.coalesce(F.col(SLICES), F.lit(1)) - 1
+    last = F.coalesce(F.col(SLICES), F.lit(1)) - 1
     return (
         df.join(F.broadcast(hot), key, "left")
         .withColumn(SLICE, F.explode(F.sequence(F.lit(0), last)))

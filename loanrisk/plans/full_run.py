@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from loanrisk import config as c
@@ -61,13 +63,20 @@ def full_run(
     start = time.monotonic()
     stored = read_table(spark, layout, c.RAW_LOANS)
     buckets = {"bucket_by": (fact_buckets, "loan_id")} if fact_buckets else {}
-    for table, df, how in [
+    silver_tables = [
         (c.DIM_CUSTOMERS, silver.dim_customers(stored, load_date, limits), {}),
         (c.FACT_LOANS, silver.fact_loans(stored), buckets),
         (c.FACT_REPAYMENTS, silver.fact_repayments(stored), buckets),
         (c.DIM_DEFAULTERS, silver.dim_defaulters(stored), {}),
-    ]:
-        _write_counted(df, layout, table, report, **how)
+    ]
+    # The four tables do not depend on each other, so their jobs share the cluster.
+    write = inheritable_thread_target(spark)(_write_counted)
+    with ThreadPoolExecutor(len(silver_tables)) as pool:
+        written = [
+            pool.submit(write, df, layout, table, report, **how) for table, df, how in silver_tables
+        ]
+    for job in written:
+        job.result()
     report.seconds["silver"] = time.monotonic() - start
 
     start = time.monotonic()
