@@ -62,42 +62,43 @@ def _silver_of(held: DataFrame) -> list[DataFrame]:
     ]
 
 
-def _silver(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    return _silver_of(_bronze(spark, sf_dir))
+def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = _bronze(spark, sf_dir)
+    return gold.gold_join(*_silver_of(held), member_rows=held)
 
 
-def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.gold_join(*_silver(spark, sf_dir))
+def _scores_of(held: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    return gold.credit_risk_scores(*tables, member_rows=held).drop("_scored_at")
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.credit_risk_scores(*_silver(spark, sf_dir)).drop("_scored_at")
+    held = _bronze(spark, sf_dir)
+    return _scores_of(held, _silver_of(held))
 
 
 def _loans_and_scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    tables = _silver(spark, sf_dir)
-    return tables[1], gold.credit_risk_scores(*tables)
+    held = _bronze(spark, sf_dir)
+    tables = _silver_of(held)
+    return tables[1], _scores_of(held, tables)
 
 
-def _two(first: int, second: int, join: Callable[[DataFrame, DataFrame], DataFrame], *columns: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = _silver(spark, sf_dir)
-        return join(tables[first], tables[second]).select(*columns)
+def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    held = _bronze(spark, sf_dir)
+    tables = _silver_of(held)
+    names = (c.DIM_CUSTOMERS, c.FACT_LOANS, c.FACT_REPAYMENTS, c.DIM_DEFAULTERS)
+    return {c.RAW_LOANS: held, **dict(zip(names, tables)), c.RISK_SCORES: _scores_of(held, tables)}
 
-    return run
 
+def _two(
+    first: int, second: int, join: Callable[..., DataFrame], *columns: str, skewed: bool = True
+) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        held = _bronze(spark, sf_dir)
+        tables = _silver_of(held)
+        options = {"member_rows": held} if skewed else {}
+        return join(tables[first], tables[second], **options).select(*columns)
 
-def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    held = _bronze(spark, sf_dir)
-    customers, loans, repayments, defaulters = _silver_of(held)
-    return {
-        c.RAW_LOANS: held,
-        c.DIM_CUSTOMERS: customers,
-        c.FACT_LOANS: loans,
-        c.FACT_REPAYMENTS: repayments,
-        c.DIM_DEFAULTERS: defaulters,
-        c.RISK_SCORES: gold.credit_risk_scores(customers, loans, repayments, defaulters),
-    }
+    return run
 
 
 def _on_bronze(step: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
@@ -311,6 +312,7 @@ QUERIES: dict[str, Query] = {
     "join_repayments": _two(
         1, 2, gold.join_facts,
         "loan_id", "member_id", "loan_amount", "monthly_installment", "total_payment_received",
+        skewed=False,
     ),
     "join_defaulters_left": _two(
         1, 3, gold.join_defaulters,

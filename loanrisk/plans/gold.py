@@ -40,10 +40,13 @@ def current_customers(customers: DataFrame) -> DataFrame:
 
 
 def _join_members(
-    facts: DataFrame, loans: DataFrame, sides: list[tuple[DataFrame, str]], config: SkewConfig
+    facts: DataFrame,
+    member_rows: DataFrame,
+    sides: list[tuple[DataFrame, str]],
+    config: SkewConfig,
 ) -> DataFrame:
-    """Join facts with member tables in turn; `loans` tells which members are hot."""
-    hot = hot_keys(loans, "member_id", config)
+    """Join facts with member tables in turn, slicing the members that are hot in `member_rows`."""
+    hot = hot_keys(member_rows, "member_id", config)
     joined = scatter(facts, hot, "member_id", spread="loan_id")
     for side, how in sides:
         joined = joined.join(repeat_per_slice(side, hot, "member_id"), ["member_id", SLICE], how)
@@ -51,18 +54,24 @@ def _join_members(
 
 
 def join_loans_customers(
-    loans: DataFrame, customers: DataFrame, config: SkewConfig = SkewConfig()
+    loans: DataFrame,
+    customers: DataFrame,
+    config: SkewConfig = SkewConfig(),
+    member_rows: DataFrame | None = None,
 ) -> DataFrame:
-    return _join_members(
-        loans.drop("_transformed_at"), loans, [(current_customers(customers), "inner")], config
-    )
+    sides = [(current_customers(customers), "inner")]
+    return _join_members(loans.drop("_transformed_at"), member_rows or loans, sides, config)
 
 
 def join_defaulters(
-    facts: DataFrame, defaulters: DataFrame, config: SkewConfig = SkewConfig()
+    facts: DataFrame,
+    defaulters: DataFrame,
+    config: SkewConfig = SkewConfig(),
+    member_rows: DataFrame | None = None,
 ) -> DataFrame:
     """Left join: a member without default history keeps nulls, which score as a clean record."""
-    return _join_members(facts, facts, [(defaulters.drop("_transformed_at"), "left")], config)
+    sides = [(defaulters.drop("_transformed_at"), "left")]
+    return _join_members(facts.drop("_transformed_at"), member_rows or facts, sides, config)
 
 
 def join_facts(loans: DataFrame, repayments: DataFrame) -> DataFrame:
@@ -90,10 +99,14 @@ def gold_join(
     repayments: DataFrame,
     defaulters: DataFrame,
     config: SkewConfig = SkewConfig(),
+    member_rows: DataFrame | None = None,
 ) -> DataFrame:
+    """All four tables. Hot members are counted in the loans, or in `member_rows`: any table with
+    `member_id` that has at least the rows of the loans and is cheaper to read, such as Bronze when
+    the loans are not stored yet."""
     return _join_members(
         join_facts(loans, repayments),
-        loans,
+        member_rows or loans,
         [
             (current_customers(customers), "inner"),
             (defaulters.drop("_transformed_at"), "left"),
@@ -161,8 +174,9 @@ def credit_risk_scores(
     defaulters: DataFrame,
     config: ScoringConfig = ScoringConfig(),
     skew: SkewConfig = SkewConfig(),
+    member_rows: DataFrame | None = None,
 ) -> DataFrame:
-    joined = gold_join(customers, loans, repayments, defaulters, skew)
+    joined = gold_join(customers, loans, repayments, defaulters, skew, member_rows)
     return score(joined, config).select(
         *SCORE_COLUMNS, F.current_timestamp().alias("_scored_at")
     )
