@@ -80,16 +80,22 @@ class TableLayout:
     """Where the tables live: under a path, or as catalog tables in one schema per layer.
 
     With `path` set, a table is the directory `<path>/<layer>/<table>`. Without it, the table is
-    `[<catalog>.]<layer>.<table>` in the session catalog.
+    `[<catalog>.]<layer>.<table>` in the session catalog. `landing` is the folder raw files arrive in.
     """
 
     path: str | None = None
+    landing: str | None = None
     catalog: str | None = None
     bronze: str = "bronze"
     silver: str = "silver"
     gold: str = "gold"
     fmt: str = "parquet"
 
+    def raw_file(self) -> str:
+        if self.landing is None:
+            raise ValueError("the layout names no landing folder")
+        return f"{self.landing.rstrip('/')}/{RAW_FILE}"
+
     def schema_names(self) -> list[str]:
         prefix = f"{self.catalog}." if self.catalog else ""
         return [f"{prefix}{layer}" for layer in (self.bronze, self.silver, self.gold)]
@@ -101,6 +107,7 @@ class TableLayout:
         return f"{self.catalog}.{layer}.{table}" if self.catalog else f"{layer}.{table}"
 
 
+RAW_FILE = "accepted_loans.csv"
 RAW_LOANS = "raw_loan_data"
 DIM_CUSTOMERS = "dim_customers"
 FACT_LOANS = "fact_loans"

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanrisk.config import TableLayout
 from loanrisk.operators.keys import add_member_id
 from loanrisk.sources.raw_files import add_audit_columns, read_raw_csv
 
@@ -14,11 +15,16 @@ from loanrisk.sources.raw_files import add_audit_columns, read_raw_csv
 REQUIRED_COLUMNS = ("loan_amnt", "grade", "annual_inc")
 
 
-def filter_garbage(raw: DataFrame) -> DataFrame:
+def is_loan() -> Column:
+    """Whether a raw record has everything a loan must have."""
     keep = F.lit(True)
     for name in REQUIRED_COLUMNS:
         keep = keep & F.col(name).isNotNull()
-    return raw.where(keep)
+    return keep
+
+
+def filter_garbage(raw: DataFrame) -> DataFrame:
+    return raw.where(is_loan())
 
 
 def to_bronze(
@@ -33,9 +39,11 @@ def to_bronze(
 
 def ingest_csv(
     spark: SparkSession,
-    path: str,
+    path: str | TableLayout,
     batch_ts: datetime | None = None,
     strict_header: bool = False,
 ) -> DataFrame:
-    """Bronze rows of a CSV file, or of all files under a directory or glob."""
+    """Bronze rows of a CSV file, of all files under a directory or glob, or of a layout's raw file."""
+    if isinstance(path, TableLayout):
+        path = path.raw_file()
     return to_bronze(read_raw_csv(spark, path, strict_header), path, batch_ts)

@@ -9,8 +9,10 @@ from datetime import date, datetime
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from loanrisk import config as c
+from loanrisk.operators.append import new_rows
 from loanrisk.operators.quality import observe_rows
 from loanrisk.plans import bronze, gold, silver
 from loanrisk.sources.tables import create_schemas, read_table, write_table
@@ -41,9 +43,13 @@ def full_run(
     limits: c.QualityLimits = c.QualityLimits(),
     skew: c.SkewConfig = c.SkewConfig(),
     fact_buckets: int | None = None,
+    append: bool = False,
 ) -> RunReport:
     """Build every table from raw records.
 
+    By default the records replace Bronze. With `append`, Bronze keeps what it holds and gains the
+    records whose id it does not have yet (see `operators.append`); Silver and Gold are rebuilt.
+
     The writes are the only actions. Each stage reads the stored result of the one before, so a
     lost executor costs a recomputation from stored files, never from the raw text. With
     `fact_buckets` (catalog layouts) both facts are bucketed by loan, and the join of the facts
@@ -54,10 +60,16 @@ def full_run(
 
     start = time.monotonic()
     read = Observation("raw")
-    counted = observe_rows(raw, read)
-    _write_counted(bronze.to_bronze(counted, source_file, batch_ts), layout, c.RAW_LOANS, report)
+    is_loan = F.count_if(bronze.is_loan())
+    arriving = bronze.to_bronze(
+        observe_rows(raw, read, loans=is_loan), source_file, batch_ts
+    )
+    if append:
+        arriving = new_rows(read_table(spark, layout, c.RAW_LOANS), arriving, config=skew)
+    mode = "append" if append else "overwrite"
+    _write_counted(arriving, layout, c.RAW_LOANS, report, mode=mode)
     report.rows["raw"] = read.get["row_count"]
-    report.rows["garbage"] = report.rows["raw"] - report.rows[c.RAW_LOANS]
+    report.rows["garbage"] = report.rows["raw"] - read.get["loans"]
     report.seconds["bronze"] = time.monotonic() - start
 
     start = time.monotonic()

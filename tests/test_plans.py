@@ -59,6 +59,12 @@ def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def content(df):
+    """Row count and an order-free digest of all values."""
+    digest = F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))
+    return df.agg(F.count(F.lit(1)).alias("rows"), digest.alias("digest")).first().asDict()
+
+
 # ---- results -----------------------------------------------------------------------------------
 
 
@@ -111,8 +117,7 @@ def test_hot_members_change_nothing(stored):
     tables = silver_tables(stored)
     plain = gold.credit_risk_scores(*tables).drop("_scored_at")
     sliced = gold.credit_risk_scores(*tables, skew=c.SkewConfig(slice_rows=4)).drop("_scored_at")
-    assert plain.exceptAll(sliced).isEmpty() and sliced.exceptAll(plain).isEmpty()
-    assert plain.count() == sliced.count()
+    assert content(plain) == content(sliced)
 
 
 def test_silver_is_the_same_under_any_input_order(spark):
@@ -120,9 +125,8 @@ def test_silver_is_the_same_under_any_input_order(spark):
     shuffled = held.orderBy(F.xxhash64("url")).repartition(3)
     for build in (silver.dim_customers, silver.fact_loans, silver.fact_repayments, silver.dim_defaulters):
         for ties in (silver.TIE_BREAKERS, ()):
-            left, right = (build(b, tie_breakers=ties).drop("_transformed_at") for b in (held, shuffled))
-            assert not left.isEmpty()
-            assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+            one, other = (content(build(b, tie_breakers=ties).drop("_transformed_at")) for b in (held, shuffled))
+            assert one == other and one["rows"] > 0
 
 
 def test_only_current_customers_are_scored(stored):
@@ -189,15 +193,6 @@ def test_counters_that_are_no_ints_become_null(spark):
 # ---- plans -------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_plans_stay_in_the_jvm_and_join_on_keys(spark, name):
-    if name == "full_run":  # runs its writes; its parts are covered by the other queries
-        return
-    plan = physical(QUERIES[name](spark, SMALL))
-    for bad in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert bad not in plan
-
-
 def test_silver_reads_only_its_columns_and_filters_at_the_scan(stored):
     held = stored[2][c.RAW_LOANS]
     query = silver.dim_defaulters(held)._jdf.queryExecution()
@@ -233,3 +228,18 @@ def test_bucketed_facts_join_without_a_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert joined.count() == QUERIES["join_repayments"](spark, SMALL).count()
+
+
+def test_append_run_adds_only_new_loans(spark, tmp_path):
+    layout = c.TableLayout(path=str(tmp_path))
+    raw = raw_loans(spark, SMALL)
+    first = full_run.full_run(spark, raw, layout)
+    later = raw.withColumn(
+        "id", F.when(F.col("grade") == "A", F.concat(F.lit("N"), "id")).otherwise(F.col("id"))
+    )
+    second = full_run.full_run(spark, later, layout, append=True)
+    kept = bronze.filter_garbage(later)
+    expected = kept.where("id IS NULL OR grade = 'A'").count()
+    assert second.rows[c.RAW_LOANS] == expected > 0
+    assert second.rows["garbage"] == first.rows["garbage"]
+    assert read_table(spark, layout, c.RAW_LOANS).count() == first.rows[c.RAW_LOANS] + expected

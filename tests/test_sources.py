@@ -66,6 +66,7 @@ def test_csv_round_trip_to_bronze(spark, tmp_path):
     )
     bronze = ingest_csv(spark, path, datetime(2024, 1, 1, 2, 0, 0))
     assert len(bronze.columns) == 121
+    assert TableLayout(landing="/in/").raw_file() == "/in/accepted_loans.csv"
     (row,) = bronze.collect()
     assert row._source_file == path and row._batch_id == "20240101_020000"
     assert len(row.member_id) == 64
