@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanrisk.config import SkewConfig
-from loanrisk.operators.skew import SLICES, hot_keys
+from loanrisk.operators.skew import hot_keys
 
 
 def new_rows(

@@ -19,13 +19,15 @@ from loanrisk.config import SkewConfig
 
 SLICE = "_slice"
 SLICES = "_slices"
+KEYLESS_SLICES = 10_000
 
 
 def hot_keys(df: DataFrame, key: str, config: SkewConfig = SkewConfig()) -> DataFrame:
     """The keys of `df` with most rows and the number of slices for each: columns `key`, `_slices`.
 
-    One aggregation with map-side partial counts, reading the key column only. Keys that tie on
-    the row count are ordered by value: every use of the list must see the same keys.
+    One aggregation with map-side partial counts, reading the key column only. Both sides of a
+    join must see the same list, so `df` must give the same rows whenever it is read, and keys
+    that tie on the row count are ordered by value.
     """
     return (
         df.where(F.col(key).isNotNull())
@@ -42,9 +44,12 @@ def scatter(df: DataFrame, hot: DataFrame, key: str, spread: str) -> DataFrame:
     """Add the slice of each row of the large side; rows of ordinary keys all get slice 0.
 
     The slice comes from the content of `spread`, which should differ between the rows of a key,
-    so a recomputed task gives every row the same slice again.
+    so a recomputed task gives every row the same slice again. Rows without a key match nothing
+    and are spread freely.
     """
-    slices = F.coalesce(F.col(SLICES), F.lit(1))
+    slices = F.when(F.col(key).isNull(), F.lit(KEYLESS_SLICES)).otherwise(
+        F.coalesce(F.col(SLICES), F.lit(1))
+    )
     return (
         df.join(F.broadcast(hot), key, "left")
         .withColumn(SLICE, F.pmod(F.xxhash64(spread), slices).cast("int"))

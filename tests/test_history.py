@@ -86,3 +86,12 @@ def test_one_current_version_per_key_and_no_gaps(spark, dim, incoming):
 def test_bad_loads_fail(spark, dim, data, day, message):
     with pytest.raises(PySparkException, match=message):
         scd2_merge(dim, spark.createDataFrame(data, SCHEMA), "k", TRACKED, day).collect()
+
+
+def test_history_and_current_versions_move_once(spark, dim, incoming):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = scd2_merge(dim, incoming, "k", TRACKED, D2)._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.toString().count("Exchange") == 2

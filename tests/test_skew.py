@@ -68,6 +68,12 @@ def test_a_hot_key_is_spread_over_its_slices(facts):
     assert max(slices.values()) < 2 * 50
 
 
+def test_rows_without_a_key_are_spread(facts):
+    hot = hot_keys(facts, "member_id", SMALL)
+    keyless = scatter(facts, hot, "member_id", "loan_id").where("member_id IS NULL").collect()
+    assert len({r[SLICE] for r in keyless}) > len(keyless) / 2
+
+
 @pytest.mark.parametrize("config", [SkewConfig(), SkewConfig(slice_rows=20), SkewConfig(slice_rows=1, max_hot_keys=4)])
 def test_append_against_brute_force(spark, config):
     rng = random.Random(11)
