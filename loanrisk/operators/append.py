@@ -16,9 +16,11 @@ def new_rows(
 
     Copies inside the batch all pass together. Only rows with an ordinary key are shuffled: rows
     without a key match nothing, and for the few hot keys (a bounded list, see `skew`) it is
-    enough to look up whether the key is known.
+    enough to look up whether the key is known. The known keys are first narrowed to those of the
+    batch; where Spark finds the batch small enough to broadcast, the table is only scanned.
     """
-    known = existing.select(key).where(F.col(key).isNotNull()).distinct()
+    arriving = batch.select(key).where(F.col(key).isNotNull()).distinct()
+    known = existing.select(key).distinct().join(arriving, key, "left_semi")
     hot = hot_keys(batch, key, config).select(key)
     hot_known = hot.join(known.withColumn("_known", F.lit(True)), key, "left").select(
         key, F.coalesce("_known", F.lit(False)).alias("_known")
