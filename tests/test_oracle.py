@@ -6,7 +6,8 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from loanrisk.checks.oracle import ORACLES
+from loanrisk.checks.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -39,17 +40,17 @@ def _table(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    df = contract.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for slow in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert slow not in plan
     ours = _table(df.columns, [tuple(row) for row in df.collect()])
-    result = duck.execute(contract.oracle_sql()[name])
+    result = duck.execute(ORACLES[name])
     theirs = _table([d[0] for d in result.description], result.fetchall())
     assert ours[0] == theirs[0]
     assert len(ours[1]) == len(theirs[1])
