@@ -64,3 +64,25 @@ def partitions_for(df: DataFrame) -> int:
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """Just the named input columns under fixed names, so other columns cannot clash."""
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
+
+
+#: Ids are broadcast only when counted to be no more than this (24 MB as a hash table).
+BROADCAST_IDS = 1_000_000
+
+
+def _matching(rows: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataFrame:
+    """Semi or anti join on an id; the ids travel to the rows if a count shows they are few."""
+    ids = stored(ids.select(F.col(ids.columns[0]).alias("_id")).distinct(), "ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return rows.join(ids, rows[id_col] == ids["_id"], how)
+
+
+def rows_with_ids(rows: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows whose id is in the one column of `ids`; columns stay as they are."""
+    return _matching(rows, ids, id_col, "left_semi")
+
+
+def rows_without_ids(rows: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows whose id is null or not in the one column of `ids`; columns stay as they are."""
+    return _matching(rows, ids, id_col, "left_anti")

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanrisk.llm.common import only, stored, utf8_values
+from loanrisk.llm.common import only, rows_without_ids, stored, utf8_values
 
 WINDOW = 32
 SHORTEST, MEAN_BITS, LONGEST = 512, 11, 16_384
@@ -145,8 +145,8 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     verdict = exact_copies(docs, id_col, text_col)
     gone = (
         verdict.where(F.col("doc_id").isNotNull())
-        .groupBy(F.col("doc_id").alias("_gone_id"))
+        .groupBy("doc_id")
         .agg(F.bool_or("kept").alias("stays"))
         .where(~F.col("stays"))
     )
-    return docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")
+    return rows_without_ids(docs, gone, id_col)

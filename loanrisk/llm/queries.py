@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanrisk.llm import exact_dedup, secret_scan, url_filter
+from loanrisk.llm import exact_dedup, ngram_join, secret_scan, url_filter
 from loanrisk.llm.common import let_workers_import, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+@query
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_copies(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
