@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import functools
+import zlib
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanrisk.llm import exact_dedup, ngram_join, secret_scan, url_filter
+from loanrisk.llm import exact_dedup, ngram_join, packing, secret_scan, token_files, url_filter
 from loanrisk.llm.common import let_workers_import, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +36,12 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
     return with_path
 
 
+@F.pandas_udf("long")
+def ids_crc32(ids: pd.Series) -> pd.Series:
+    """Unsigned CRC-32 of the ids as little-endian unsigned 32-bit integers."""
+    return ids.map(lambda x: zlib.crc32(np.asarray(x, dtype="<u4").tobytes()))
+
+
 @query
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "verdict string, rule string")
@@ -44,6 +53,20 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_copies(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+@query
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"))
+    return packing.pack(pieces.withColumn("ids_crc32", ids_crc32("ids")).drop("ids"))
+
+
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = token_files.write_token_files(table(spark, sf_dir, "documents"))
+    return token_files.read_token_files(written).select(
+        "doc_id", "start", F.size("ids").cast("long").alias("n_tokens"), ids_crc32("ids").alias("ids_crc32")
+    )
+
+
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
