@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 import zlib
 from collections.abc import Callable
 
@@ -11,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanrisk.llm import exact_dedup, ngram_join, packing, secret_scan, token_files, url_filter
+from loanrisk.llm import byte_bpe, exact_dedup, ngram_join, packing, secret_scan, token_files, url_filter
 from loanrisk.llm.common import let_workers_import, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +49,22 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+@F.pandas_udf("string")
+def ids_sha256(ids: pd.Series) -> pd.Series:
+    """SHA-256 (hex) of the ids as little-endian unsigned 32-bit integers."""
+    return ids.map(lambda x: hashlib.sha256(np.asarray(x, dtype="<u4").tobytes()).hexdigest())
+
+
+@query
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        ids_sha256("ids").alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_copies(table(spark, sf_dir, "documents"), n=3, percent=90)

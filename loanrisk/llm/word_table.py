@@ -1,0 +1,64 @@
+"""Token ids of distinct words, kept in flat arrays so that texts are encoded by gathering."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterable
+
+import numpy as np
+
+MOST_WORDS = 300_000
+#: Long texts are cut before a white-space character once a piece has so many characters.
+PIECE = 1 << 20
+
+
+class WordTable:
+    """Words met in one task; beyond `most` of them all are forgotten, so memory is bounded."""
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = MOST_WORDS):
+        self._encode, self._most = encode, most
+        self._forget()
+
+    def _forget(self) -> None:
+        self._words: dict[str, int] = {}
+        self._start = np.zeros(1, dtype=np.int64)  # ids of word k: _ids[_start[k]:_start[k + 1]]
+        self._ids = np.empty(0, dtype=np.uint16)
+
+    def _learn(self, words: Iterable[str]) -> None:
+        new = list(dict.fromkeys(words))
+        ids, sizes = self._encode(new)
+        first = len(self._words)
+        self._words.update(zip(new, range(first, first + len(new))))
+        self._start = np.concatenate([self._start, self._start[-1] + np.cumsum(sizes)])
+        self._ids = np.concatenate([self._ids, ids])
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and how many each word has."""
+        if len(self._words) > self._most:
+            self._forget()
+        known = self._words.get
+        at = np.fromiter((known(w, -1) for w in words), dtype=np.int64, count=len(words))
+        if len(at) and at.min() < 0:
+            self._learn(words[k] for k in np.flatnonzero(at < 0).tolist())
+            at = np.fromiter(map(self._words.__getitem__, words), dtype=np.int64, count=len(words))
+        begin = self._start[at]
+        sizes = self._start[at + 1] - begin
+        return gather(self._ids, begin, sizes), sizes
+
+
+def gather(flat: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The slices `flat[begin[k]:begin[k] + sizes[k]]`, one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(begin - ends + sizes, sizes) + np.arange(total)]
+
+
+def pieces(text: str, size: int = PIECE) -> Iterable[str]:
+    """The text in pieces that end before a white-space character, where no token spans the cut."""
+    at = 0
+    while len(text) - at > size:
+        end = at + size
+        while end < len(text) and not (text[end] in " \n\t" and not text[end - 1].isspace()):
+            end += 1
+        yield text[at:end]
+        at = end
+    yield text[at:]

@@ -10,16 +10,14 @@ special token's `<|`) go to it whole.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
 
 import numpy as np
 import public_tokenizers
 
+from loanrisk.llm.word_table import WordTable, pieces
+
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
-MOST_WORDS = 300_000
-#: Long texts are cut before a space or line end once a piece has so many characters.
-PIECE = 1 << 20
 
 # The characters of plain texts, and what they are to the vocabulary's pattern.
 _LOWER = "a-zªµºß-öø-ÿĀ-ňŊ-ſ"
@@ -30,41 +28,19 @@ WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LOWER}]+|[{_NUMBER}]|[^{_SPACE}{_
 
 
 class WordTokens:
-    """Encoder for one task. Words are kept up to a fixed number, then forgotten together."""
+    """Encoder for one task."""
 
     def __init__(self, vocabulary: str = VOCABULARY):
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(vocabulary)
-        self._words: dict[str, int] = {}
-        self._start = np.zeros(1, dtype=np.int64)  # ids of word k: _ids[_start[k]:_start[k + 1]]
-        self._ids = np.empty(0, dtype=np.uint16)
+        self._table = WordTable(self._encode_words)
 
-    def _encode_new(self, words: list[str]) -> None:
-        new = [w for w in dict.fromkeys(words) if w not in self._words]
-        if not new:
-            return
-        found = [e.ids for e in self._library.encode_batch(new, add_special_tokens=False)]
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self._library.encode_batch(words, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        first = len(self._words)
-        self._words.update(zip(new, range(first, first + len(new))))
-        self._start = np.concatenate([self._start, self._start[-1] + np.cumsum(sizes)])
-        flat = np.fromiter((i for ids in found for i in ids), dtype=np.uint16, count=int(sizes.sum()))
-        self._ids = np.concatenate([self._ids, flat])
-
-    def _plain(self, text: str) -> np.ndarray:
-        words = WORD.findall(text.lower())
-        if len(self._words) > MOST_WORDS:
-            self._words, self._start, self._ids = {}, self._start[:1], self._ids[:0]
-        known = self._words.get
-        at = np.fromiter((known(w, -1) for w in words), dtype=np.int64, count=len(words))
-        if len(at) and at.min() < 0:
-            self._encode_new([words[k] for k in np.flatnonzero(at < 0).tolist()])
-            at = np.fromiter(map(self._words.__getitem__, words), dtype=np.int64, count=len(words))
-        begin, size = self._start[at], self._start[at + 1] - self._start[at]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        return self._ids[np.repeat(begin - ends + size, size) + np.arange(total)]
+        ids = np.fromiter((i for ids in found for i in ids), dtype=np.uint16, count=int(sizes.sum()))
+        return ids, sizes
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of a text without special tokens; null counts as empty."""
@@ -73,19 +49,7 @@ class WordTokens:
         if NOT_PLAIN.search(text):
             ids = self._library.encode(text, add_special_tokens=False).ids
             return np.array(ids, dtype=np.uint16)
-        return np.concatenate([self._plain(piece) for piece in pieces(text)])
+        return np.concatenate([self._table.ids(WORD.findall(p.lower()))[0] for p in pieces(text)])
 
     def document(self, text: str | None, end_id: int = END_ID) -> np.ndarray:
         return np.append(self.encode(text), np.uint16(end_id))
-
-
-def pieces(text: str, size: int = PIECE) -> Iterable[str]:
-    """The text in pieces that end before a white-space character, where no token spans the cut."""
-    at = 0
-    while len(text) - at > size:
-        end = at + size
-        while end < len(text) and not (text[end] in " \n\t" and not text[end - 1].isspace()):
-            end += 1
-        yield text[at:end]
-        at = end
-    yield text[at:]
