@@ -31,3 +31,21 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
   doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+ORACLES["op3_vector_dedup"] = """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b
+    ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT r.vec_id, l.b FROM reach r JOIN link l ON l.a = r.other),
+least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN counts USING (vec_id)
+"""

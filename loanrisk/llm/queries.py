@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanrisk.llm import byte_bpe, exact_dedup, ngram_join, packing, secret_scan, token_files, url_filter
+from loanrisk.llm import byte_bpe, exact_dedup, ngram_join, packing, secret_scan, token_files, toxicity, url_filter, vector_dedup
 from loanrisk.llm.common import let_workers_import, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,16 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @F.pandas_udf("string")
 def ids_sha256(ids: pd.Series) -> pd.Series:
     """SHA-256 (hex) of the ids as little-endian unsigned 32-bit integers."""
