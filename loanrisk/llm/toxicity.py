@@ -43,7 +43,7 @@ PREFIXES = (4, 5, 6)
 #: Learned terms have a share of more than 1 / MOST_TERMS of all counted, so there are fewer.
 MOST_TERMS = 100_000
 LEAST_TEXTS, LEAST_ENDINGS = 3, 3
-LEAST_ODDS = 2.0
+LEAST_ODDS = 1.5
 #: Chance that any term of a kind is kept though it has nothing to do with toxicity.
 CHANCE = 0.05
 #: Rows that the label model and the classifier are fitted on, at most.
@@ -55,10 +55,13 @@ CUT = 0.3
 
 @dataclass
 class Lexicon:
-    """Learned terms and their log-odds: whole words, and beginnings by length."""
+    """Learned terms and their log-odds: whole words, and beginnings by length (with their stems)."""
 
     words: dict[str, float] = field(default_factory=dict)
-    prefixes: dict[int, dict[str, float]] = field(default_factory=dict)
+    prefixes: dict[int, dict[str, float]] = field(default_factory=lambda: {n: {} for n in PREFIXES})
+
+    def __post_init__(self) -> None:
+        self.stems = {p[: PREFIXES[0]] for table in self.prefixes.values() for p in table}
 
 
 # Names of the voters, in the order of `votes`.
@@ -92,14 +95,18 @@ def features(text: str, lexicon: Lexicon) -> np.ndarray:
     for w in known:
         out[at + zlib.crc32(w.encode()) % SHARDS] = 1
     at += SHARDS
-    rest = words - known
-    begun = {}
-    for n in PREFIXES:
-        table = lexicon.prefixes.get(n)
-        for p in {w[:n] for w in rest}.intersection(table) if table else ():
-            out[at + zlib.crc32(p.encode()) % SHARDS] = 1
-            begun[p[: PREFIXES[0]]] = max(table[p], begun.get(p[: PREFIXES[0]], 0.0))
-        at += SHARDS
+    begun = []
+    for w in words - known:
+        if w[: PREFIXES[0]] in lexicon.stems:
+            best = 0.0
+            for k, n in enumerate(PREFIXES):
+                odds = lexicon.prefixes[n].get(w[:n])
+                if odds is not None:
+                    out[at + k * SHARDS + zlib.crc32(w[:n].encode()) % SHARDS] = 1
+                    best = max(best, odds)
+            if best:
+                begun.append(best)
+    at += SHARDS * len(PREFIXES)
     out[at] = ADDRESS.search(text) is not None
     out[at + 1] = text.isupper()
     out[at + 2] = text.count("!") > 3
@@ -108,7 +115,7 @@ def features(text: str, lexicon: Lexicon) -> np.ndarray:
         math.log1p(len(known)),
         math.log1p(len(begun)),
         min(10.0, sum(lexicon.words[w] for w in known)),
-        min(10.0, sum(begun.values())),
+        min(30.0, sum(begun)),
     )
     return out
 
@@ -197,10 +204,13 @@ def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 30) -> tuple
         miss = ((1 - posterior) @ v + 0.5) / ((1 - posterior).sum() + 1)
         # A voter only ever speaks for toxicity; one that does so at random says nothing.
         miss[:-1] = np.minimum(miss[:-1], hit[:-1])
+        # The annotator is mostly right; without this anchor few voters could turn the label over.
+        hit[-1], miss[-1] = np.clip(hit[-1], 0.9, 0.999), np.clip(miss[-1], 0.001, 0.05)
         residual = v - np.outer(posterior, hit) - np.outer(1 - posterior, miss)
         spread = residual.std(axis=0) + 1e-9
         correlation = (residual / spread).T @ (residual / spread) / n
         share = 1 / np.clip((correlation**2).sum(axis=1), 1, m)
+        share[-1] = 1
         said = np.log(hit / miss)
         silent = np.log((1 - hit) / (1 - miss))
         odds = np.log(prior / (1 - prior)) + (v * said + (1 - v) * silent) @ share
