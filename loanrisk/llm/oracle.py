@@ -49,3 +49,43 @@ counts AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM least LEFT JOIN counts USING (vec_id)
 """
+
+ORACLES["op8_line_dedup"] = r"""
+WITH split AS (
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS line,
+    unnest(string_split(text, chr(10))) AS whole
+  FROM documents WHERE text <> ''),
+lines AS (
+  SELECT *, regexp_replace(whole, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS bare,
+    len(regexp_extract_all(whole, '[^\x20\x09-\x0D]+')) AS words
+  FROM split),
+placed AS (
+  SELECT *, row_number() OVER doc AS place, sum(words) OVER doc AS ends,
+    sum(words) OVER (PARTITION BY doc_id) AS total
+  FROM lines WHERE words > 0 WINDOW doc AS (PARTITION BY doc_id ORDER BY line)),
+runs AS (
+  SELECT doc_id, place AS first, place + count(*) OVER w - 1 AS last,
+    string_agg(bare, chr(10)) OVER w AS content, total - ends + words >= 50 AS long_enough
+  FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY ends - words
+    RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+  UNION ALL
+  SELECT doc_id, place - count(*) OVER w + 1, place, string_agg(bare, chr(10)) OVER w, ends >= 50
+  FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY ends
+    RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
+ranked AS (
+  SELECT *, dense_rank() OVER (PARTITION BY md5(content) ORDER BY doc_id, first) AS n
+  FROM runs WHERE long_enough),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(first, last)) AS place FROM ranked WHERE n > 1),
+marked AS (
+  SELECT l.doc_id, l.line, l.whole, g.place IS NOT NULL AS removed
+  FROM lines l LEFT JOIN placed p USING (doc_id, line)
+  LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.place = p.place),
+done AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
+    string_agg(whole, chr(10) ORDER BY line) FILTER (NOT removed) AS text
+  FROM marked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+  coalesce(done.text, '') AS text
+FROM documents d LEFT JOIN done USING (doc_id)
+"""

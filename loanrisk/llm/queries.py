@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanrisk.llm import byte_bpe, exact_dedup, ngram_join, packing, secret_scan, token_files, toxicity, url_filter, vector_dedup
+from loanrisk.llm import byte_bpe, exact_dedup, line_dedup, ngram_join, packing, secret_scan, token_files, toxicity, url_filter, vector_dedup
 from loanrisk.llm.common import let_workers_import, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,11 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
