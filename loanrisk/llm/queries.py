@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType
 
 from loanrisk.llm import byte_bpe, exact_dedup, line_dedup, ngram_join, packing, secret_scan, token_files, toxicity, url_filter, vector_dedup
 from loanrisk.llm.common import let_workers_import, table
@@ -37,7 +38,7 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
     return with_path
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def ids_crc32(ids: pd.Series) -> pd.Series:
     """Unsigned CRC-32 of the ids as little-endian unsigned 32-bit integers."""
     return ids.map(lambda x: zlib.crc32(np.asarray(x, dtype="<u4").tobytes()))
@@ -59,7 +60,7 @@ def op3_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def ids_sha256(ids: pd.Series) -> pd.Series:
     """SHA-256 (hex) of the ids as little-endian unsigned 32-bit integers."""
     return ids.map(lambda x: hashlib.sha256(np.asarray(x, dtype="<u4").tobytes()).hexdigest())

@@ -38,7 +38,7 @@ KINDS = (*BASE_KINDS, "key", "short", "endpoint")
 RADIUS = 300
 
 SPAN = "struct<start:int,rank:int,end:int>"
-NONE = F.lit(-(2**30))
+FAR = -(2**30)
 
 
 def _spans(text: Column, pattern: str, rank: int, keep=None) -> Column:
@@ -94,7 +94,7 @@ def _nearest(parts: Column, backwards: bool) -> Column:
     fields = ["start", "rank", "end", "last_access", "last_secret", "next_access", "next_secret"]
     kind = "array<struct<" + ",".join(f"{f}:int" for f in fields) + ">>"
     start = F.struct(
-        NONE.alias("access"), NONE.alias("secret"), F.array().cast(kind).alias("parts")
+        F.lit(FAR).alias("access"), F.lit(FAR).alias("secret"), F.array().cast(kind).alias("parts")
     )
 
     def step(state, part):
