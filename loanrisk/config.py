@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 class ScoringConfig:
     """Weights, points and grade cut-offs of the risk score."""
 
+    # Weights, points and grade bounds.
     payment_weight: float = 0.20
     default_weight: float = 0.45
     financial_weight: float = 0.35
@@ -64,15 +65,17 @@ class SkewConfig:
     """How joins treat keys that hold many rows (see `operators.skew`).
 
     A key with more than `slice_rows` rows is split into slices of about that size. The list of
-    such keys is broadcast, so its length is bounded by `max_hot_keys`.
+    such keys is broadcast; keys with less than one in `max_hot_keys` of all rows stay off it,
+    which bounds its length. Rows without a key match nothing and spread over `keyless_slices`.
     """
 
     slice_rows: int = 1_000_000
     max_hot_keys: int = 50_000
+    keyless_slices: int = 10_000
 
     def __post_init__(self) -> None:
-        if self.slice_rows < 1 or self.max_hot_keys < 1:
-            raise ValueError(f"both settings must be positive: {self}")
+        if min(self.slice_rows, self.max_hot_keys, self.keyless_slices) < 1:
+            raise ValueError(f"all settings must be positive: {self}")
 
 
 @dataclass(frozen=True)

@@ -5,9 +5,9 @@ every row of the large side picks a slice from its own `spread` column, and the
 the other side are repeated once per slice. Both sides then join on (key, slice). Nothing is
 dropped and no row is matched twice.
 
-The list of hot keys has at most `max_hot_keys` rows, whatever the data size, so it is safe to
-broadcast. Keys are taken by falling row count: every key that holds more than one in
-`max_hot_keys` of the rows is on the list, and the rest are joined as usual.
+The list of hot keys holds every key with more than `slice_rows` rows and more than one in
+`max_hot_keys` of all rows. Fewer than `max_hot_keys` keys can be that large, whatever the data
+size, so the list is safe to broadcast; the rest are joined as usual.
 """
 
 from __future__ import annotations
@@ -19,35 +19,31 @@ from loanrisk.config import SkewConfig
 
 SLICE = "_slice"
 SLICES = "_slices"
-KEYLESS_SLICES = 10_000
-
 
 def hot_keys(df: DataFrame, key: str, config: SkewConfig = SkewConfig()) -> DataFrame:
-    """The keys of `df` with most rows and the number of slices for each: columns `key`, `_slices`.
+    """The large keys of `df` and the number of slices for each: columns `key`, `_slices`.
 
-    One aggregation with map-side partial counts, reading the key column only. Both sides of a
-    join must see the same list, so `df` must give the same rows whenever it is read, and keys
-    that tie on the row count are ordered by value.
+    One aggregation with map-side partial counts, reading the key column only; its exchange also
+    serves the total. Both sides of a join must see the same list, so `df` must give the same rows
+    whenever it is read.
     """
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > config.slice_rows)
-        .orderBy(F.desc("_n"), key)
-        .limit(config.max_hot_keys)
-        .select(key, F.ceil(F.col("_n") / config.slice_rows).cast("int").alias(SLICES))
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    share = counts.agg(F.sum("_n") / F.lit(config.max_hot_keys)).scalar()
+    return counts.where(F.col("_n") > F.greatest(F.lit(float(config.slice_rows)), share)).select(
+        key, F.ceil(F.col("_n") / config.slice_rows).cast("int").alias(SLICES)
     )
 
 
-def scatter(df: DataFrame, hot: DataFrame, key: str, spread: str) -> DataFrame:
+def scatter(
+    df: DataFrame, hot: DataFrame, key: str, spread: str, config: SkewConfig = SkewConfig()
+) -> DataFrame:
     """Add the slice of each row of the large side; rows of ordinary keys all get slice 0.
 
     The slice comes from the content of `spread`, which should differ between the rows of a key,
     so a recomputed task gives every row the same slice again. Rows without a key match nothing
     and are spread freely.
     """
-    slices = F.when(F.col(key).isNull(), F.lit(KEYLESS_SLICES)).otherwise(
+    slices = F.when(F.col(key).isNull(), F.lit(config.keyless_slices)).otherwise(
         F.coalesce(F.col(SLICES), F.lit(1))
     )
     return (

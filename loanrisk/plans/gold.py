@@ -14,6 +14,7 @@ from loanrisk.config import ScoringConfig, SkewConfig
 from loanrisk.functions import scoring as s
 from loanrisk.operators.skew import SLICE, hot_keys, repeat_per_slice, scatter
 
+# The columns of the Gold table, in order.
 SCORE_COLUMNS = [
     "member_id",
     "loan_id",
@@ -47,7 +48,7 @@ def _join_members(
 ) -> DataFrame:
     """Join facts with member tables in turn, slicing the members that are hot in `member_rows`."""
     hot = hot_keys(member_rows, "member_id", config)
-    joined = scatter(facts, hot, "member_id", spread="loan_id")
+    joined = scatter(facts, hot, "member_id", "loan_id", config)
     for side, how in sides:
         joined = joined.join(repeat_per_slice(side, hot, "member_id"), ["member_id", SLICE], how)
     return joined.drop(SLICE)
