@@ -10,7 +10,7 @@ import re
 
 from loanrisk.checks.loan_view import quoted, raw_loans_sql
 from loanrisk.functions.text import JOB_KEYWORDS, REGION_STATES
-from loanrisk.sources.raw_schema import RAW_COLUMNS
+from loanrisk.sources.raw_schema import RAW_COLUMNS, TEXT_COLUMNS
 
 
 def _round4(x: str) -> str:
@@ -265,6 +265,12 @@ WHERE prev_day IS NULL OR c_acctbal IS DISTINCT FROM prev_bal OR c_mktsegment IS
     "batch": """SELECT * REPLACE (CASE WHEN loan_status IS NULL THEN 'R' || id ELSE id END AS id) FROM bronze""",
 }
 
+# A CSV scan reads an empty text as null.
+CTES["parsed"] = "SELECT * REPLACE ({}) FROM raw".format(
+    ", ".join(f"nullif({quoted(n)}, '') AS {quoted(n)}" for n in RAW_COLUMNS if n in TEXT_COLUMNS)
+)
+CTES["parsed_bronze"] = CTES["bronze"].replace("FROM raw", "FROM parsed")
+
 
 def _needed(sql: str) -> list[str]:
     """Names of the expressions a query refers to, directly or not, in definition order."""
@@ -471,6 +477,12 @@ _SQL = {
     "fact_loan_repayments": "SELECT * FROM repayments",
     "dim_loan_defaulters": "SELECT * FROM defaulters",
     "full_run": "SELECT * FROM scores",
+    # The loads of the append run make up all records, so its Gold is that of one load.
+    "append_run": "SELECT * FROM scores",
+    "raw_csv_load": (
+        f"SELECT {', '.join(quoted(n) for n in RAW_COLUMNS)}, 'orders' AS _source_file, "
+        "'20240101_020000' AS _batch_id FROM parsed_bronze"
+    ),
     "incremental_append": (
         "SELECT id, url, loan_amnt, loan_status FROM bronze UNION ALL "
         "SELECT id, url, loan_amnt, loan_status FROM batch b WHERE NOT EXISTS "

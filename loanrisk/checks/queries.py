@@ -17,7 +17,7 @@ from loanrisk.functions.banding import income_bracket, interest_rate_band
 from loanrisk.functions.text import state_region, valid_state
 from loanrisk.operators import append, history, keys, quality
 from loanrisk.plans import bronze, full_run, gold, reports, silver
-from loanrisk.sources.raw_files import add_audit_columns
+from loanrisk.sources.raw_files import add_audit_columns, read_raw_csv
 from loanrisk.sources.shared_folder import new_shared_folder
 from loanrisk.sources.tables import preview, read_table
 
@@ -209,6 +209,26 @@ def stored_full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, layout, c.RISK_SCORES).drop("_scored_at")
 
 
+def append_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads in append mode into an empty lake: half of the ids, then all records, known ones
+    and those without an id included. The result is the stored Gold table."""
+    layout = c.TableLayout(path=new_shared_folder(spark, "loanrisk-append-run"))
+    raw = raw_loans(spark, sf_dir)
+    first = raw.where(F.coalesce(F.crc32(F.col("id").cast("binary")) % 2 == 0, F.lit(False)))
+    for load in (first, raw):
+        full_run.full_run(spark, load, layout, SOURCE, BATCH_TS, LOAD_DATE, append=True)
+    return read_table(spark, layout, c.RISK_SCORES).drop("_scored_at")
+
+
+def raw_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze from CSV: the records of the whole table written as text, scanned and loaded. An empty
+    text and a null are the same to the scan, which makes both null."""
+    path = new_shared_folder(spark, "loanrisk-csv")
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    raw_loans(spark, sf_dir).write.options(header=True, **kept).csv(path)
+    return bronze.to_bronze(read_raw_csv(spark, path), SOURCE, BATCH_TS).drop("_ingested_at")
+
+
 def emp_length_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     years = silver.latest_customers(_bronze(spark, sf_dir)).select(
         silver.first_number("emp_length").alias("years")
@@ -220,6 +240,7 @@ QUERIES: dict[str, Query] = {
     # sources, sinks, table access
     "bronze_audit": bronze_audit,
     "bronze_load": _bronze,
+    "raw_csv_load": raw_csv_load,
     "preview_top20": preview_top20,
     "table_summary": lambda s, d: quality.row_counts(_tables(s, d)),
     # projections and filters
@@ -351,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "fact_loan_repayments": _repayments,
     "dim_loan_defaulters": _defaulters,
     "full_run": stored_full_run,
+    "append_run": append_run,
     # later loads and summaries
     "incremental_append": incremental_append,
     "vintage_summary": lambda s, d: reports.vintage_summary(*_loans_and_scores(s, d)),

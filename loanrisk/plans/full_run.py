@@ -3,33 +3,52 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanrisk import config as c
 from loanrisk.operators.append import new_rows
-from loanrisk.operators.quality import observe_rows
+from loanrisk.operators.quality import critical_nulls, key_report, require_filled, row_counts
 from loanrisk.plans import bronze, gold, silver
-from loanrisk.sources.tables import create_schemas, read_table, write_table
+from loanrisk.sources.shared_folder import new_shared_folder
+from loanrisk.sources.tables import create_schemas, read_table, table_exists, write_table
 
 
 @dataclass
 class RunReport:
-    """Seconds per stage and the row counts seen while writing."""
+    """Seconds per stage and rows per table.
+
+    Rows of tables are counted in the written tables (for an append, those that came in). `raw` and
+    `garbage` are counted while the raw records are read, in a job of their own.
+    """
 
     seconds: dict[str, float] = field(default_factory=dict)
     rows: dict[str, int] = field(default_factory=dict)
 
 
-def _write_counted(df: DataFrame, layout: c.TableLayout, table: str, report: RunReport, **how) -> None:
-    seen = Observation(table)
-    write_table(observe_rows(df, seen), layout, table, **how)
-    report.rows[table] = seen.get["row_count"]
+#: The columns that no Bronze row may lack.
+CRITICAL_COLUMNS = ("loan_amnt", "grade", "member_id")
+
+
+def _count(report: RunReport, tables: dict[str, DataFrame]) -> None:
+    for row in row_counts(tables).collect():  # one row per table
+        report.rows[row["table_name"]] = row["row_count"]
+
+
+def check_bronze(held: DataFrame) -> None:
+    """Fail if Bronze is empty or lacks a critical value."""
+    require_filled(critical_nulls(held, CRITICAL_COLUMNS))
+
+
+def check_silver(tables: dict[str, DataFrame]) -> None:
+    """Fail if a Silver table is empty or has a null key."""
+    require_filled(key_report({name: (df, c.TABLE_KEY[name]) for name, df in tables.items()}))
 
 
 def full_run(
@@ -44,63 +63,71 @@ def full_run(
     skew: c.SkewConfig = c.SkewConfig(),
     fact_buckets: int | None = None,
     append: bool = False,
+    validate: bool = True,
+    loan_partitions: Sequence[str] = (),
 ) -> RunReport:
     """Build every table from raw records.
 
     By default the records replace Bronze. With `append`, Bronze keeps what it holds and gains the
     records whose id it does not have yet (see `operators.append`); Silver and Gold are rebuilt.
 
-    The writes are the only actions. Each stage reads the stored result of the one before, so a
-    lost executor costs a recomputation from stored files, never from the raw text. With
-    `fact_buckets` (catalog layouts) both facts are bucketed by loan, and the join of the facts
-    needs no exchange.
+    Each stage reads the stored result of the one before, so a lost executor costs a recomputation
+    from stored files, never from the raw text: also the records of an append are written to the
+    shared folder before they are compared. With `validate`, Bronze is checked before Silver is
+    built and Silver before Gold; a failed check raises `QualityError` and leaves the later tables
+    as they were. With `fact_buckets` (catalog layouts) both facts and Gold are bucketed by loan,
+    and their joins need no exchange; `loan_partitions`, such as `issue_year`, are the folders of
+    `fact_loans`.
     """
     report = RunReport()
     create_schemas(spark, layout)
 
     start = time.monotonic()
-    read = Observation("raw")
-    is_loan = F.count_if(bronze.is_loan())
-    arriving = bronze.to_bronze(
-        observe_rows(raw, read, loans=is_loan), source_file, batch_ts
-    )
+    counted = raw.agg(F.count(F.lit(1)).alias("raw"), F.count_if(bronze.is_loan()).alias("loans")).first()
+    report.rows |= {"raw": counted["raw"], "garbage": counted["raw"] - counted["loans"]}
+    arriving = bronze.to_bronze(raw, source_file, batch_ts)
+    before = 0
     if append:
-        arriving = new_rows(read_table(spark, layout, c.RAW_LOANS), arriving, config=skew)
-    mode = "append" if append else "overwrite"
-    _write_counted(arriving, layout, c.RAW_LOANS, report, mode=mode)
-    report.rows["raw"] = read.get["row_count"]
-    report.rows["garbage"] = report.rows["raw"] - read.get["loans"]
+        landed = new_shared_folder(spark, "loan-batch")
+        arriving.write.parquet(landed)
+        arriving = spark.read.schema(arriving.schema).parquet(landed)
+        if table_exists(spark, layout, c.RAW_LOANS):
+            held = read_table(spark, layout, c.RAW_LOANS)
+            before = held.count()
+            arriving = new_rows(held, arriving, config=skew)
+    write_table(arriving, layout, c.RAW_LOANS, mode="append" if append else "overwrite")
+    stored = read_table(spark, layout, c.RAW_LOANS)
+    _count(report, {c.RAW_LOANS: stored})
+    report.rows[c.RAW_LOANS] -= before
+    if validate:
+        check_bronze(stored)
     report.seconds["bronze"] = time.monotonic() - start
 
     start = time.monotonic()
-    stored = read_table(spark, layout, c.RAW_LOANS)
     buckets = {"bucket_by": (fact_buckets, "loan_id")} if fact_buckets else {}
+    by_year = {"partition_by": loan_partitions} if loan_partitions else {}
     silver_tables = [
         (c.DIM_CUSTOMERS, silver.dim_customers(stored, load_date, limits), {}),
-        (c.FACT_LOANS, silver.fact_loans(stored), buckets),
+        (c.FACT_LOANS, silver.fact_loans(stored), buckets | by_year),
         (c.FACT_REPAYMENTS, silver.fact_repayments(stored), buckets),
         (c.DIM_DEFAULTERS, silver.dim_defaulters(stored), {}),
     ]
     # The four tables do not depend on each other, so their jobs share the cluster.
-    write = inheritable_thread_target(spark)(_write_counted)
+    write = inheritable_thread_target(spark)(write_table)
     with ThreadPoolExecutor(len(silver_tables)) as pool:
-        written = [
-            pool.submit(write, df, layout, table, report, **how) for table, df, how in silver_tables
-        ]
+        written = [pool.submit(write, df, layout, table, **how) for table, df, how in silver_tables]
     for job in written:
         job.result()
+    tables = {table: read_table(spark, layout, table) for table, _, _ in silver_tables}
+    _count(report, tables)
+    if validate:
+        check_silver(tables)
     report.seconds["silver"] = time.monotonic() - start
 
     start = time.monotonic()
-    scores = gold.credit_risk_scores(
-        *(
-            read_table(spark, layout, t)
-            for t in (c.DIM_CUSTOMERS, c.FACT_LOANS, c.FACT_REPAYMENTS, c.DIM_DEFAULTERS)
-        ),
-        scoring,
-        skew,
-    )
-    _write_counted(scores, layout, c.RISK_SCORES, report)
+    scores = gold.credit_risk_scores(*tables.values(), scoring, skew)
+    write_table(scores, layout, c.RISK_SCORES, **buckets)
+    _count(report, {c.RISK_SCORES: read_table(spark, layout, c.RISK_SCORES)})
     report.seconds["gold"] = time.monotonic() - start
     return report
 

@@ -144,14 +144,19 @@ def latest_customers(bronze: DataFrame, tie_breakers: Sequence[str] = TIE_BREAKE
     return _latest(known_income, customer_columns(), "member_id", "annual_income", tie_breakers)
 
 
-def with_employment_years(customers: DataFrame) -> DataFrame:
+def with_employment_years(customers: DataFrame, members: DataFrame | None = None) -> DataFrame:
     """`emp_length` as whole years; unreadable values get the rounded mean of the readable ones.
 
-    The mean is a scalar subquery: it is computed on the executors, in the same query, from the
-    ordering and length columns alone.
+    The mean is a scalar subquery: it is computed on the executors, in the same query. The length
+    is part of the member key, so all records of a member agree on it; with `members`, the records
+    the customers come from, the mean needs their key and length alone, one group per member.
     """
     years = customers.withColumn("emp_length", first_number("emp_length"))
-    mean = years.agg(F.bround(F.avg("emp_length"), 0).cast("int")).scalar()
+    known = years
+    if members is not None:
+        per_member = members.where("member_id is not null").groupBy("member_id")
+        known = per_member.agg(first_number(F.max("emp_length")).alias("emp_length"))
+    mean = known.agg(F.bround(F.avg("emp_length"), 0).cast("int")).scalar()
     # A mean of zero counts as no mean.
     usual = F.coalesce(F.nullif(mean, F.lit(0)), F.lit(DEFAULT_EMPLOYMENT_YEARS))
     return years.withColumn("emp_length", F.coalesce("emp_length", usual))
@@ -194,7 +199,7 @@ def dim_customers(
 ) -> DataFrame:
     return (
         latest_customers(bronze, tie_breakers)
-        .transform(with_employment_years)
+        .transform(with_employment_years, bronze.where(F.col("annual_inc").isNotNull()))
         .transform(with_job_category)
         .transform(with_clean_state)
         .transform(with_capped_income, limits)

@@ -57,6 +57,14 @@ def read_table(spark: SparkSession, layout: TableLayout, table: str) -> DataFram
     return spark.read.format(layout.fmt).load(layout.locate(table))
 
 
+def table_exists(spark: SparkSession, layout: TableLayout, table: str) -> bool:
+    """Whether the table has been written; any failure to find out is raised."""
+    if layout.path is None:
+        return spark.catalog.tableExists(layout.locate(table))
+    path = spark._jvm.org.apache.hadoop.fs.Path(layout.locate(table))
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+
+
 def preview(df: DataFrame, *order_by: str, rows: int = 20) -> DataFrame:
     """The first rows of a frame; with `order_by`, the same rows every time."""
     return df.orderBy(*order_by).limit(rows) if order_by else df.limit(rows)

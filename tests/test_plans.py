@@ -1,6 +1,7 @@
 """What the pipelines produce, and the shape of their physical plans."""
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 import pytest
@@ -10,9 +11,11 @@ from loanrisk import config as c
 from loanrisk.checks.loan_view import raw_loans
 from loanrisk.checks.queries import QUERIES
 from loanrisk.operators import quality
+from loanrisk.operators.append import new_rows
 from loanrisk.plans import bronze, full_run, gold, reports, silver
+from loanrisk.sources.raw_files import read_raw_csv
 from loanrisk.sources.raw_schema import RAW_COLUMNS
-from loanrisk.sources.tables import read_table
+from loanrisk.sources.tables import read_table, table_exists
 
 SMALL = "/root/testdata/sf0.001"
 MEDIUM = "/root/testdata/sf0.01"
@@ -211,8 +214,14 @@ def test_gold_shuffles_the_facts_once_per_key(spark, stored):
         plan = physical(gold.credit_risk_scores(*silver_tables(stored)))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    main = re.sub(r"hashpartitioning\(member_id#\d+, \d+\)", "", plan)  # the hot-key counts
-    assert main.count("Exchange hashpartitioning") == 5
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan)
+    keys = sorted(re.sub(r"#\d+L?", "", e) for e in exchanges)
+    # The facts meet by loan and move once to (member, slice), where the two member tables join
+    # them; all counts of hot members, and their total, come from one exchange.
+    assert [k for k in keys if k != "member_id"] == ["_paid_loan", "loan_id"] + ["member_id, _slice"] * 3
+    # Each of the three uses of the list counts members, once for the list and once for the total.
+    # They are equal, so that one exchange is run and reused.
+    assert keys.count("member_id") == 6, keys
     assert plan.count("SortMergeJoin") == 3
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(is_current,true\)", plan)
 
@@ -230,6 +239,49 @@ def test_bucketed_facts_join_without_a_shuffle(spark):
     assert joined.count() == QUERIES["join_repayments"](spark, SMALL).count()
 
 
+def test_a_failed_load_does_not_block_the_next(spark, tmp_path):
+    layout = c.TableLayout(path=str(tmp_path / "lake"))
+    raw = raw_loans(spark, SMALL)
+    with pytest.raises(quality.QualityError, match="empty"):
+        full_run.full_run(spark, raw.where("false"), layout)
+    assert not table_exists(spark, layout, c.DIM_CUSTOMERS)
+    with ThreadPoolExecutor(1) as pool:
+        report = pool.submit(full_run.full_run, spark, raw, layout).result(timeout=300)
+    assert report.rows[c.RISK_SCORES] == read_table(spark, layout, c.RISK_SCORES).count() > 0
+    with pytest.raises(quality.QualityError, match="null values in member_id"):
+        full_run.check_bronze(read_table(spark, layout, c.RAW_LOANS).withColumn("member_id", F.lit(None)))
+    tables = full_run.stored_tables(spark, layout)
+    silver_only = {name: tables[name] for name in c.TABLE_KEY}
+    full_run.check_silver(silver_only)
+    with pytest.raises(quality.QualityError, match="null_keys"):
+        full_run.check_silver(silver_only | {c.FACT_LOANS: tables[c.FACT_LOANS].withColumn("loan_id", F.lit(None).cast("string"))})
+
+
+def test_loans_are_stored_by_year(spark, tmp_path):
+    layout = c.TableLayout(path=str(tmp_path / "lake"))
+    full_run.full_run(spark, raw_loans(spark, SMALL), layout, loan_partitions=["issue_year"])
+    plan = physical(read_table(spark, layout, c.FACT_LOANS).where("issue_year = 1995"))
+    assert re.search(r"PartitionFilters: \[[^\]]*issue_year", plan)
+
+
+def test_an_append_parses_the_batch_for_counting_and_for_landing_only(spark, tmp_path, monkeypatch):
+    layout = c.TableLayout(path=str(tmp_path / "lake"))
+    raw_loans(spark, SMALL).write.csv(str(tmp_path / "csv"), header=True)
+    seen = []
+    monkeypatch.setattr(full_run, "new_rows", lambda held, batch, **how: seen.append(batch) or new_rows(held, batch, **how))
+    raw = read_raw_csv(spark, str(tmp_path / "csv"))
+    for _ in range(2):
+        full_run.full_run(spark, raw, layout, append=True)
+    assert len(seen) == 1 and "FileScan csv" not in physical(new_rows(seen[0], seen[0]))
+
+
+def test_mean_employment_reads_key_and_length_only(stored):
+    held = stored[2][c.RAW_LOANS]
+    plan = physical(silver.dim_customers(held))
+    narrow = [s for s in re.findall(r"ReadSchema: struct<([^>]*)>", plan) if "emp_length" in s and "emp_title" not in s]
+    assert narrow and all({f.split(":")[0] for f in s.split(",")} <= {"member_id", "emp_length", "annual_inc"} for s in narrow)
+
+
 def test_append_run_adds_only_new_loans(spark, tmp_path):
     layout = c.TableLayout(path=str(tmp_path))
     raw = raw_loans(spark, SMALL)
