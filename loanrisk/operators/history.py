@@ -42,8 +42,9 @@ def scd2_merge(
     `incoming` holds one row per natural `key`, with the dimension's attribute columns. A key whose
     `tracked` attributes differ (null-safe) gets its current version closed on `load_date` and a
     new one opened; a new key gets its first version; a key that is missing or unchanged keeps its
-    version as it is. Loading the same rows twice changes nothing. The load fails when it is older
-    than a current version, or when a key is missing or comes twice (see `dedup_by_key`).
+    version as it is. A change on the day a version was opened replaces that version. Loading the
+    same rows twice changes nothing. The load fails when it is older than a current version, when a
+    key is missing or comes twice (see `dedup_by_key`), or when `is_current` is null in a row.
 
     Only current versions take part in the join, one per key on both sides, so long histories add
     no skew: they pass through untouched.
@@ -62,9 +63,9 @@ def scd2_merge(
     copies = Window.partitionBy("_new_key").orderBy(F.lit(0))
     new = incoming.select(F.col(key).alias("_new_key"), F.struct(*attributes).alias("_new"))
     new = new.withColumn("_copy", F.row_number().over(copies))
-    old = dim.where("is_current").select(
-        F.col(key).alias("_old_key"), F.struct(*dim.columns).alias("_old")
-    )
+    unknown = F.raise_error(F.lit("scd2_merge: is_current is null")).cast("boolean")
+    current = F.coalesce(F.col("is_current"), unknown)
+    old = dim.where(current).select(F.col(key).alias("_old_key"), F.struct(*dim.columns).alias("_old"))
 
     has_old, has_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
     checks = {
@@ -86,6 +87,7 @@ def scd2_merge(
     opened = version("_new", day, F.lit(OPEN_END), True)
     versions = (
         F.when(~has_old, F.array(opened))
+        .when(has_new & ~same & (F.col("_old.effective_date") == day), F.array(opened))
         .when(has_new & ~same, F.array(ended, opened))
         .otherwise(F.array(kept))
     )
@@ -95,4 +97,4 @@ def scd2_merge(
         .select(F.explode(versions).alias("_v"))
         .select("_v.*")
     )
-    return dim.where(~F.col("is_current")).unionByName(merged)
+    return dim.where(~current).unionByName(merged)

@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.errors import PySparkException
 
 from loanrisk.operators.history import OPEN_END, scd2_initial, scd2_merge
@@ -95,3 +96,18 @@ def test_history_and_current_versions_move_once(spark, dim, incoming):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.toString().count("Exchange") == 2
+
+
+def test_a_change_on_the_opening_day_replaces_the_version(spark, dim, incoming):
+    once = scd2_merge(dim, incoming, "k", TRACKED, D2)
+    third = spark.createDataFrame([("changed", "Z", 9.0, "n")], SCHEMA)
+    again = [r for r in scd2_merge(once, third, "k", TRACKED, D2).collect() if r.k == "changed"]
+    assert all(r.effective_date < r.end_date for r in again)
+    assert len(again) == once.where("k = 'changed'").count()
+    assert [r.effective_date for r in again if r.is_current] == [D2]
+
+
+def test_a_row_of_unknown_state_is_refused(spark, dim, incoming):
+    broken = dim.withColumn("is_current", F.lit(None).cast("boolean"))
+    with pytest.raises(PySparkException, match="is_current is null"):
+        scd2_merge(broken, incoming, "k", TRACKED, D2).collect()
