@@ -268,7 +268,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     known = stored(known, "labels")
     small = known.count() <= BROADCAST_IDS
     labelled = only(documents, doc_id="doc_id", text="text").join(F.broadcast(known) if small else known, "doc_id")
-    if known.select("toxic").distinct().count() < 2:
+    if labelled.select("toxic").distinct().count() < 2:
         weights = np.zeros(len(VOTERS) + len(STRENGTHS) + 1)
         weights[: len(SEEDS)] = 3.0
         weights[-1] = -3.0
