@@ -41,7 +41,7 @@ def _job_category() -> str:
 
 
 def _states(region: str) -> str:
-    return ", ".join(f"'{state}'" for state in REGION_STATES[region].split())
+    return ", ".join(f"'{state}'" for state in REGION_STATES[region])
 
 
 def _valid_state(text: str) -> str:

@@ -129,6 +129,7 @@ def home_ownership_points(cfg: ScoringConfig) -> Column:
 def credit_utilization_points(cfg: ScoringConfig) -> Column:
     """Funded amount as a share of the credit limit; a missing side earns the lowest points."""
     funded, limit = F.col("funded_amount"), F.col("total_high_credit_limit")
+    # The shares that separate the points.
     return (
         F.when(funded <= limit * 0.10, F.lit(cfg.excellent))
         .when(funded <= limit * 0.30, F.lit(cfg.very_good))

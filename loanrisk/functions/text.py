@@ -46,13 +46,16 @@ JOB_KEYWORDS = {
 
 # US states by census region.
 REGION_STATES = {
-    "Northeast": "CT ME MA NH RI VT NJ NY PA",
-    "Midwest": "IL IN MI OH WI IA KS MN MO NE ND SD",
-    "South": "DE FL GA MD NC SC VA DC WV AL KY MS TN AR LA OK TX",
-    "West": "AZ CO ID MT NV NM UT WY AK CA HI OR WA",
+    "Northeast": ("CT", "ME", "MA", "NH", "RI", "VT", "NJ", "NY", "PA"),
+    "Midwest": ("IL", "IN", "MI", "OH", "WI", "IA", "KS", "MN", "MO", "NE", "ND", "SD"),
+    "South": (
+        "DE", "FL", "GA", "MD", "NC", "SC", "VA", "DC", "WV",
+        "AL", "KY", "MS", "TN", "AR", "LA", "OK", "TX",
+    ),
+    "West": ("AZ", "CO", "ID", "MT", "NV", "NM", "UT", "WY", "AK", "CA", "HI", "OR", "WA"),
 }
 STATE_REGION = {
-    state: region for region, states in REGION_STATES.items() for state in states.split()
+    state: region for region, states in REGION_STATES.items() for state in states
 }
 NO_STATE = "NA"
 
@@ -108,7 +111,7 @@ def state_region(state: Column | str = "address_state") -> Column:
     cleaned = _state_text(state)
     region = None
     for name, states in REGION_STATES.items():
-        test = cleaned.isin(*states.split())
+        test = cleaned.isin(*states)
         region = F.when(test, name) if region is None else region.when(test, name)
     return region
 

@@ -20,6 +20,7 @@ from loanrisk.sources.tables import read_table, table_exists
 SMALL = "/root/testdata/sf0.001"
 MEDIUM = "/root/testdata/sf0.01"
 
+# The columns of every stored table, in order.
 COLUMNS = {
     c.RAW_LOANS: [*RAW_COLUMNS, "_ingested_at", "_source_file", "_batch_id"],
     c.DIM_CUSTOMERS: """member_id emp_title emp_length home_ownership annual_income address_state
