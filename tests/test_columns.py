@@ -85,7 +85,7 @@ def test_fixed_tables_are_complete():
     assert len(text.JOB_KEYWORDS) == 11
     assert sum(map(len, text.JOB_KEYWORDS.values())) == 91
     assert len(text.STATE_REGION) == 51
-    assert {r: len(s.split()) for r, s in text.REGION_STATES.items()} == {
+    assert {r: len(s) for r, s in text.REGION_STATES.items()} == {
         "Northeast": 9, "Midwest": 12, "South": 17, "West": 13,
     }
 
