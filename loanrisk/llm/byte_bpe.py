@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding, with the merges replayed over a whole vocabulary of words.
 
 Method: the distinct words (matches of the split pattern) of a task's texts form one corpus. An
-inverted index lists, for every merge rank, the places where a pair of neighbours has that rank.
+inverted index leads from the rank of a pair of neighbours to the places where the pair stands.
 Ranks are taken in rising order; a merge is applied at all its places at once and only the two
 neighbours of each place are looked at again. A word is merged once per task, however often it
 occurs, and texts are put together from the words' ids, so nothing is shuffled.
@@ -26,145 +26,172 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanrisk.llm.common import only
-from loanrisk.llm.word_table import WordTable, gather, pieces
+from loanrisk.llm.word_index import WordIndex, gather, pieces
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-CHARS = 2_000_000
-BYTES = 500_000
+CHARS = 16_000_000
+IDS = 500_000
+NEVER = np.int32(2**31 - 1)
+#: Places of so many ranks are indexed at a time; later ranks only have their places' ranks noted.
+RANKS = 1024
 
 
 class ByteBpe:
     """Encoder and decoder for one task."""
 
     def __init__(self, vocabulary: str = VOCABULARY, pattern: str = PATTERN):
-        self._ranks: dict[bytes, int] = {}
+        ranks: dict[bytes, int] = {}
         with open(vocabulary, "rb") as lines:
             for line in lines:
                 token, rank = line.split()
-                self._ranks[base64.b64decode(token)] = int(rank)
-        size = max(self._ranks.values()) + 1
-        self._tokens = [b""] * size
-        for token, rank in self._ranks.items():
-            self._tokens[rank] = token
-        self._byte_ids = np.array([self._ranks[bytes([b])] for b in range(256)], dtype=np.int64)
-        self._lengths = np.array([len(t) for t in self._tokens], dtype=np.int64)
+                ranks[base64.b64decode(token)] = int(rank)
+        self._ranks = ranks
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self._byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+        self._lengths = np.array([len(t) for t in tokens], dtype=np.int64)
         self._starts = np.cumsum(self._lengths) - self._lengths
-        self._bytes = np.frombuffer(b"".join(self._tokens), dtype=np.uint8)
-        self._pairs: dict[int, int] = {}
+        self._bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+        # Every pair of tokens that makes a token, whichever way the token is cut.
+        made = sorted(
+            (left << 20 | right, rank)
+            for token, rank in ranks.items()
+            for k in range(1, len(token))
+            if (left := ranks.get(token[:k], -1)) >= 0 and (right := ranks.get(token[k:], -1)) >= 0
+        )
+        self._pairs = np.array([p for p, _ in made], dtype=np.int64)
+        self._pair_ranks = np.array([r for _, r in made], dtype=np.int32)
         self._find = regex.compile(pattern).findall
-        self._table = WordTable(self._encode_words)
+        self.words = WordIndex(self._encode_words)
 
-    def encode(self, text: str | None) -> np.ndarray:
-        """The ids of a text without special tokens; null counts as empty."""
+    def numbers(self, text: str | None) -> np.ndarray:
+        """The numbers of a text's words in the index; null counts as empty."""
         if not text:
-            return np.empty(0, dtype=np.uint16)
-        return np.concatenate([self._table.ids(self._find(p))[0] for p in pieces(text)])
+            return np.empty(0, dtype=np.int32)
+        return np.concatenate([self.words.numbers(self._find(p)) for p in pieces(text)])
+
+    def encode(self, text: str | None) -> np.ndarray:
+        """The ids of one text without special tokens."""
+        numbers = self.numbers(text)
+        self.words.learn()
+        return self.words.ids(numbers)
 
     def decode(self, ids: np.ndarray) -> bytes:
         return gather(self._bytes, self._starts[ids], self._lengths[ids]).tobytes()
 
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found: list[np.ndarray | None] = [None] * len(words)
-        block, size = [], 0
-        for k, word in enumerate(words):
-            data = word.encode()
-            whole = self._ranks.get(data)
-            if whole is not None:
-                found[k] = np.array([whole])
-                continue
-            block.append((k, data))
-            size += len(data)
-            if size >= BYTES:
-                self._merge_block(block, found)
-                block, size = [], 0
-        self._merge_block(block, found)
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        return np.concatenate(found).astype(np.uint16), sizes
-
-    def _merge_block(self, block: list[tuple[int, bytes]], found: list) -> None:
-        if block:
-            for (k, _), ids in zip(block, self.merge([data for _, data in block])):
-                found[k] = ids
-
-    def _rank(self, left: int, right: int) -> int:
-        """The rank of the token that two neighbours make, or -1."""
-        key = left << 20 | right
-        rank = self._pairs.get(key)
-        if rank is None:
-            if len(self._pairs) > 1_000_000:
-                self._pairs.clear()
-            rank = self._pairs[key] = self._ranks.get(self._tokens[left] + self._tokens[right], -1)
-        return rank
-
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of non-empty words, by replaying the merges over all of them."""
+        data = [w.encode() for w in words]
+        whole = np.array([self._ranks.get(w, -1) for w in data])
+        rest = np.flatnonzero(whole < 0)
+        sizes = np.ones(len(words), dtype=np.int64)
+        merged = [data[k] for k in rest.tolist()]
+        flat, sizes[rest] = self.merge(merged) if merged else (np.empty(0, dtype=np.int32), 0)
+        ids = np.empty(int(sizes.sum()), dtype=np.uint16)
+        single = np.repeat(whole >= 0, sizes)
+        ids[single], ids[~single] = whole[whole >= 0], flat
+        return ids, sizes
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The ranks of the tokens that neighbours make; `NEVER` where they make none."""
+        code = left.astype(np.int64) << 20 | right
+        at = np.minimum(np.searchsorted(self._pairs, code), len(self._pairs) - 1)
+        return np.where(self._pairs[at] == code, self._pair_ranks[at], NEVER)
+
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of non-empty words in a row and their number per word, by replaying the merges."""
         sizes = np.array([len(w) for w in words])
         ends = np.cumsum(sizes)
-        first = self._byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
-        n = len(first)
-        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        ids = self._byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
+        n = len(ids)
+        after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         after[ends - 1] = -1
         before[ends - sizes] = -1
-        # The index: places of every rank. Equal pairs are looked up once.
+        ranks = np.full(n, NEVER)  # of the pair that begins at a place
         left = np.flatnonzero(after >= 0)
-        pairs, which = np.unique(first[left] << 20 | first[left + 1], return_inverse=True)
-        ranks = np.array([self._rank(p >> 20, p & 0xFFFFF) for p in pairs.tolist()], dtype=np.int64)[which]
-        order = np.argsort(ranks, kind="stable")
-        cuts = np.flatnonzero(np.diff(ranks[order])) + 1
-        index = {int(ranks[g[0]]): left[g].tolist() for g in np.split(order, cuts) if len(g)}
-        index.pop(-1, None)
-
-        ids, after, before = first.tolist(), after.tolist(), before.tolist()
-        rank_of, doubtful = self._rank, []
-        queue = list(index)
-        heapq.heapify(queue)
+        ranks[left] = self._rank(ids[left], ids[left + 1])
+        doubtful: list[int] = []
+        for low in range(0, len(self._lengths), RANKS):
+            self._replay(low + RANKS, ids, after, before, ranks, doubtful)
+
+        redo = np.unique(np.searchsorted(ends, np.array(doubtful, dtype=np.int64), side="right"))
+        alive = ids >= 0
+        counts = np.add.reduceat(alive, ends - sizes, dtype=np.int64)
+        if not len(redo):
+            return ids[alive], counts
+        parts = np.split(ids[alive], np.cumsum(counts)[:-1])
+        for k in redo.tolist():
+            parts[k] = self._lowest_first(words[k])
+            counts[k] = len(parts[k])
+        return np.concatenate(parts), counts
+
+    def _replay(self, end: int, ids, after, before, ranks, doubtful: list[int]) -> None:
+        """All merges of a rank below `end`."""
+        places = np.flatnonzero(ranks < end)
+        places = places[np.argsort(ranks[places], kind="stable")]
+        present, first = np.unique(ranks[places], return_index=True)
+        index: dict[int, np.ndarray | list[int]] = dict(zip(present.tolist(), np.split(places, first[1:])))
+        queue = present.tolist()
         while queue:
             rank = heapq.heappop(queue)
-            places = index.pop(rank)
-            places.sort()
-            for p in places:
+            p = index.pop(rank)
+            if isinstance(p, list):
+                p = np.unique(np.array(p, dtype=np.int64))
+            p = p[ranks[p] == rank]
+            if not len(p):
+                continue
+            q = after[p]
+            if len(p) > 1 and (p[1:] == q[:-1]).any():
+                p = p[_leftmost(p.tolist(), q.tolist())]
                 q = after[p]
-                if ids[p] < 0 or q < 0 or rank_of(ids[p], ids[q]) != rank:
-                    continue
-                ids[p], ids[q] = rank, -1
-                r, before_p = after[q], before[p]
-                after[p] = r
-                if r >= 0:
-                    before[r] = p
-                for a, b in ((before_p, p), (p, r)):
-                    if a < 0 or b < 0:
-                        continue
-                    new = rank_of(ids[a], ids[b])
-                    if new < 0:
-                        continue
-                    if new <= rank:
-                        doubtful.append(p)
-                    if new in index:
-                        index[new].append(a)
+            r = after[q]
+            ids[p], ids[q] = rank, -1
+            ranks[p], ranks[q] = NEVER, NEVER
+            after[p] = r
+            followed = r >= 0
+            before[r[followed]] = p[followed]
+            # The two pairs that each merge has made.
+            lead = before[p]
+            touched = np.concatenate([p[followed], lead[lead >= 0]])
+            if not len(touched):
+                continue
+            new = self._rank(ids[touched], ids[after[touched]])
+            ranks[touched] = new
+            soon = new < end
+            if soon.any():
+                for place, r in zip(touched[soon].tolist(), new[soon].tolist()):
+                    if r <= rank:
+                        doubtful.append(place)
+                    known = index.get(r)
+                    if known is None:
+                        index[r] = [place]
+                        heapq.heappush(queue, r)
+                    elif isinstance(known, list):
+                        known.append(place)
                     else:
-                        index[new] = [a]
-                        heapq.heappush(queue, new)
-
-        ids = np.array(ids)
-        alive = ids >= 0
-        kept = np.cumsum(np.add.reduceat(alive, ends - sizes))[:-1]
-        out = np.split(ids[alive], kept)
-        for k in set(np.searchsorted(ends, doubtful, side="right").tolist()):
-            out[k] = self._lowest_first(words[k])
-        return out
+                        index[r] = [*known.tolist(), place]
 
     def _lowest_first(self, word: bytes) -> np.ndarray:
         """One word by the rule itself: merge the leftmost pair of lowest rank until none is left."""
-        ids = self._byte_ids[np.frombuffer(word, dtype=np.uint8)].tolist()
+        ids = self._byte_ids[np.frombuffer(word, dtype=np.uint8)]
         while len(ids) > 1:
-            ranks = [self._rank(a, b) for a, b in zip(ids, ids[1:])]
-            least = min((r for r in ranks if r >= 0), default=-1)
-            if least < 0:
+            ranks = self._rank(ids[:-1], ids[1:])
+            at = int(ranks.argmin())
+            if ranks[at] == NEVER:
                 break
-            at = ranks.index(least)
-            ids[at : at + 2] = [least]
-        return np.array(ids)
+            ids = np.concatenate([ids[:at], ranks[at : at + 1], ids[at + 2 :]])
+        return ids
+
+
+def _leftmost(p: list[int], q: list[int]) -> list[int]:
+    """Of places in order, those that do not begin with what the one before has taken."""
+    kept, taken = [], -1
+    for k, (begin, end) in enumerate(zip(p, q)):
+        if begin != taken:
+            kept.append(k)
+            taken = end
+    return kept
 
 
 def encode_documents(
@@ -178,8 +205,8 @@ def encode_documents(
 
     Texts are encoded whole and without special tokens; their strings are ordinary text. Null and
     empty texts have no ids. Null ids and repeated rows are kept; other columns are not read; an
-    empty table gives an empty result. Memory per task is bounded by one long text, or `CHARS`
-    characters of short ones, and the table of words.
+    empty table gives an empty result. Memory per task is bounded by one long text, or the words of
+    `CHARS` characters of short ones, and the index of words.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,17 +223,30 @@ def encode_documents(
                 names=["doc_id", "ids", "decoded"],
             )
 
-        for batch in batches:
+        def encoded(waiting: list[tuple]) -> Iterator[pa.RecordBatch]:
+            bpe.words.learn()
             rows, size = [], 0
-            for doc_id, value in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                text = value.as_py()
-                rows.append((doc_id, bpe.encode(text)))
-                size += len(text or "")
-                if size >= CHARS:
+            for doc_id, numbers in waiting:
+                ids = bpe.words.ids(numbers)
+                rows.append((doc_id, ids))
+                size += len(ids)
+                if size >= IDS:
                     yield batch_of(rows)
                     rows, size = [], 0
             if rows:
                 yield batch_of(rows)
+            bpe.words.trim()
+
+        waiting, size = [], 0
+        for batch in batches:
+            for doc_id, value in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                text = value.as_py()
+                waiting.append((doc_id, bpe.numbers(text)))
+                size += len(text or "")
+                if size >= CHARS:
+                    yield from encoded(waiting)
+                    waiting, size = [], 0
+        yield from encoded(waiting)
 
     named = only(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     return named.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
