@@ -9,7 +9,7 @@ combination is used as often as the counts allow, so the plan has about as many
 lengths.
 
 The pieces themselves stay on the executors. A piece's number among those of its length is its
-number within its task plus those of the tasks before; the plan, a small table, maps length and
+number within the task that wrote it plus those of the tasks before; the plan, a small table, maps length and
 number to a sequence and a place.
 """
 
@@ -20,10 +20,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from loanrisk.llm.common import only, stored
 from loanrisk.llm.word_tokens import END_ID, VOCABULARY, WordTokens
@@ -63,8 +61,8 @@ def token_pieces(
 
         for batch in batches:
             rows, size = [], 0
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = tokens.document(text.as_py(), end_id)
+            texts = (text.as_py() for text in batch.column("text"))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokens.documents(texts, end_id)):
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     rows.append((doc_id, piece, start, ids[start : start + capacity]))
                 size += len(ids)
@@ -180,27 +178,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     An empty table gives an empty result.
     """
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, met = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
-        for batch in batches:
-            if batch.column("length").null_count:
-                raise ValueError("a piece has no length")
-            lengths = np.asarray(batch.column("length"))
-            if len(lengths) and not (1 <= lengths.min() and lengths.max() <= capacity):
-                raise ValueError(f"lengths must lie in 1 to {capacity}")
-            order = np.argsort(lengths, kind="stable")
-            ordered = lengths[order]
-            within = np.arange(len(ordered)) - np.searchsorted(ordered, ordered)
-            numbers = np.empty(len(ordered), dtype=np.int64)
-            numbers[order] = met[ordered] + within
-            np.add.at(met, lengths, 1)
-            columns = [*batch.columns, pa.array(np.full(len(lengths), task)), pa.array(numbers)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_pack_task", "_pack_number"])
-
-    carried = pieces.drop("sequence_id", "offset").withColumn("length", F.col("length").cast("long"))
+    length = F.col("length").cast("long")
+    fits = length.isNotNull() & length.between(1, capacity)
+    message = F.concat(F.lit(f"lengths must lie in 1 to {capacity}: "), F.coalesce(length.cast("string"), F.lit("null")))
+    carried = pieces.drop("sequence_id", "offset").withColumn(
+        "length", F.when(fits, length).otherwise(F.raise_error(message).cast("long"))
+    )
     columns = carried.columns
-    schema = StructType([*carried.schema.fields]).add("_pack_task", "long").add("_pack_number", "long")
-    numbered = stored(carried.mapInArrow(number, schema), "pieces")
+    # The number of a row: its task, and its place within the task.
+    numbered = stored(carried.withColumn("_pack_row", F.monotonically_increasing_id()), "pieces")
+    numbered = numbered.withColumn("_pack_task", F.shiftright("_pack_row", 33))
 
     per_task = numbered.groupBy("length", "_pack_task").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("_pack_task").rowsBetween(Window.unboundedPreceding, -1)
@@ -218,6 +205,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         {size: rows.sort_values("first").to_numpy() for size, rows in plan.groupby("length")}
     )
 
+    # A third of all pieces may have one length; by task they are in parts, so no group is large.
     @F.pandas_udf("sequence_id long, offset long")
     def place(length: pd.Series, number: pd.Series) -> pd.DataFrame:
         at = np.zeros((len(length), 2), dtype=np.int64)
@@ -230,8 +218,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             at[where, 1] = step[:, 5] + inside % step[:, 3] * size
         return pd.DataFrame({"sequence_id": at[:, 0], "offset": at[:, 1]})
 
+    within = F.row_number().over(Window.partitionBy("length", "_pack_task").orderBy("_pack_row")) - 1
     return (
-        numbered.join(offsets, ["length", "_pack_task"])
+        numbered.withColumn("_pack_number", within)
+        .join(offsets, ["length", "_pack_task"])
         .withColumn("_pack_at", place("length", F.col("_pack_number") + F.col("_pack_before")))
         .select(*[F.col(f"`{c}`") for c in columns], "_pack_at.sequence_id", "_pack_at.offset")
     )

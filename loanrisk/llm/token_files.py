@@ -175,9 +175,10 @@ def write_token_files(
         number = TaskContext.get().partitionId()
         uri = f"{folder}/tokens-{number:06d}-{uuid.uuid4().hex}.pfor"
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+            texts = (text.as_py() for text in batch.column("text"))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokens.documents(texts, end_id)):
                 writer = writer or Writer(uri)
-                writer.add(doc_id, tokens.document(text.as_py(), end_id))
+                writer.add(doc_id, ids)
         if writer:
             held, size = writer.close()
             yield pa.RecordBatch.from_pydict(

@@ -9,15 +9,19 @@ special token's `<|`) go to it whole.
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
 
-from loanrisk.llm.word_table import WordTable, pieces
+from loanrisk.llm.word_index import WordIndex, pieces
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
+CHARS = 4_000_000
+SLICE = 4_000
 
 # The characters of plain texts, and what they are to the vocabulary's pattern.
 _LOWER = "a-zªµºß-öø-ÿĀ-ňŊ-ſ"
@@ -31,25 +35,47 @@ class WordTokens:
     """Encoder for one task."""
 
     def __init__(self, vocabulary: str = VOCABULARY):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(vocabulary)
-        self._table = WordTable(self._encode_words)
+        self._words = WordIndex(self._encode_words)
 
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self._library.encode_batch(words, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        ids = np.fromiter((i for ids in found for i in ids), dtype=np.uint16, count=int(sizes.sum()))
-        return ids, sizes
+        ids, sizes = [], []
+        for k in range(0, len(words), SLICE):  # the library's results are large objects
+            found = [e.ids for e in self._library.encode_batch(words[k : k + SLICE], add_special_tokens=False)]
+            part = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+            sizes.append(part)
+            ids.append(np.fromiter((i for x in found for i in x), dtype=np.uint16, count=int(part.sum())))
+        return np.concatenate(ids), np.concatenate(sizes)
 
-    def encode(self, text: str | None) -> np.ndarray:
-        """The ids of a text without special tokens; null counts as empty."""
+    def _waiting(self, text: str | None) -> tuple[bool, np.ndarray]:
+        """Whether the text is encoded already, and its ids or else the numbers of its words."""
         if not text:
-            return np.empty(0, dtype=np.uint16)
+            return True, np.empty(0, dtype=np.uint16)
         if NOT_PLAIN.search(text):
-            ids = self._library.encode(text, add_special_tokens=False).ids
-            return np.array(ids, dtype=np.uint16)
-        return np.concatenate([self._table.ids(WORD.findall(p.lower()))[0] for p in pieces(text)])
+            return True, np.array(self._library.encode(text, add_special_tokens=False).ids, dtype=np.uint16)
+        return False, np.concatenate([self._words.numbers(WORD.findall(p.lower())) for p in pieces(text)])
 
-    def document(self, text: str | None, end_id: int = END_ID) -> np.ndarray:
-        return np.append(self.encode(text), np.uint16(end_id))
+    def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each text without special tokens; null counts as empty. New words are encoded
+        together, `CHARS` characters of texts at a time."""
+        held, size = [], 0
+        for text in texts:
+            held.append(self._waiting(text))
+            size += len(text or "")
+            if size >= CHARS:
+                yield from self._encoded(held)
+                held, size = [], 0
+        yield from self._encoded(held)
+
+    def _encoded(self, held: list[tuple[bool, np.ndarray]]) -> Iterator[np.ndarray]:
+        self._words.learn()
+        for done, found in held:
+            yield found if done else self._words.ids(found)
+        self._words.trim()
+
+    def documents(self, texts: Iterable[str | None], end_id: int = END_ID) -> Iterator[np.ndarray]:
+        for ids in self.encode(texts):
+            yield np.append(ids, np.uint16(end_id))
