@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -33,21 +34,22 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = new_shared_folder(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._stored_at = path
+    return back
 
 
-def map_batches(
-    df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
-) -> DataFrame:
-    """One Arrow batch in, at most one out; the function must not keep rows between batches."""
+def discard(df: DataFrame) -> None:
+    """Delete a table that `stored` has written and that nothing reads any more."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = rows(batch)
-            if out is not None:
-                yield out
 
-    return df.mapInArrow(run, schema)
+def release(spark: SparkSession) -> None:
+    """Have Spark drop the shuffle files of finished jobs now. It does so when the driver collects
+    garbage, which may be long after an operator of many steps has filled the disks."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def utf8_values(column: pa.Array) -> Iterator[bytes]:

@@ -8,11 +8,11 @@ out, and each remaining pair is verified once on the whole sets.
 How it stays linear on copies:
 - Documents with equal sets are one class, found by a 128-bit hash of the set. From then on only
   classes count; a task sends each class it meets once.
-- All classes that share a prefix shingle are first compared with two of them (the least and the
-  greatest, the same for all shingles of a group of near-copies). What these stars connect need not
-  be compared again: the result is the connected components. Then all remaining pairs of classes
-  that share a prefix shingle and lie in different components are compared. No link between
-  components is lost, and a large group of near-copies never meets itself pair by pair.
+- All classes that share a prefix shingle are first compared with one of them, the least by hash,
+  which is mostly the same for all shingles of a group of near-copies. What these stars connect
+  need not be compared again: the result is the connected components. Then all remaining pairs of
+  classes that share a prefix shingle and lie in different components are compared. No link between
+  components is lost, and a large group of near-copies does not meet itself pair by pair.
 
 Rarity comes from counts over all texts: every task counts the shingles of its blocks, repeated
 ones are summed up, and those above 1 / `MOST_FREQUENT` of all counted are listed. That bounds the
@@ -23,21 +23,28 @@ work there is, not the result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from loanrisk.llm.common import only, rows_with_ids, rows_without_ids, stored, utf8_values
+from loanrisk.llm.blocks import map_groups, paired_blocks, pairs_in_groups
+from loanrisk.llm.common import discard, only, release, rows_with_ids, rows_without_ids, stored, utf8_values
 from loanrisk.llm.components import connected_components
 from loanrisk.llm.shingles import WordHashes, shingle_set
 
 #: The list of frequent shingles has no more entries than this (12 MB).
 MOST_FREQUENT = 1_000_000
 BLOCK = 2_000_000
-SEGMENTS = 16
+#: Counts per set for the suffix filter, and for a first one when classes meet by shingle.
+SEGMENTS, COARSE = 256, 128
+#: Shingles are joined in so many parts, one after the other, which divides the disk it takes.
+PARTS = 4
 SEGMENT_BOUNDS = np.array([(k << 64) // SEGMENTS for k in range(1, SEGMENTS)], dtype=np.uint64)
 ROWS = 200_000
 
@@ -66,14 +73,14 @@ def _describe(n: int):
 
         def batch_of(docs: list[tuple], counted=None) -> pa.RecordBatch:
             tokens, counts = counted or ([], [])
-            rows = [*docs, (None, None, None, None, None)] if counted else docs
-            columns = list(zip(*rows)) if rows else [[]] * 5
+            rows = [*docs, (None,) * 6] if counted else docs
+            columns = list(zip(*rows)) if rows else [[]] * 6
             lists = [None] * len(docs) + [(tokens, counts)] * bool(counted)
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)]
                 + [pa.array([x and x[i] for x in lists], pa.list_(pa.int64())) for i in (0, 1)],
-                names=["doc_id", "n_shingles", "c1", "c2", "segments", "tokens", "counts"],
+                names=["doc_id", "n_shingles", "c1", "c2", "segments", "coarse", "tokens", "counts"],
             )
 
         for batch in batches:
@@ -82,7 +89,8 @@ def _describe(n: int):
                 s = shingle_set(data, n, hashes)
                 c1, c2 = _class_of(s)
                 segments = np.diff(np.searchsorted(s, SEGMENT_BOUNDS), prepend=0, append=len(s))
-                docs.append((doc_id, len(s), c1, c2, segments.astype(np.int32)))
+                coarse = segments.reshape(COARSE, -1).sum(axis=1)
+                docs.append((doc_id, len(s), c1, c2, _bytes(segments), _bytes(coarse)))
                 if c1 not in seen:
                     seen.add(c1)
                     held.append(s)
@@ -140,19 +148,23 @@ def _postings(n: int, percent: int, frequent):
     return run
 
 
-def _sets(n: int):
+def _similar(n: int, percent: int):
+    """(a, b): of rows with the texts of two documents those that are similar enough."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            sets = [shingle_set(data, n, hashes) for data in utf8_values(batch.column("text"))]
-            keys = [_class_of(s) for s in sets]
+            kept, last, y = [], None, None
+            sides = zip(utf8_values(batch.column("x_text")), utf8_values(batch.column("y_text")), batch.column("y_rep").to_pylist())
+            for x_text, y_text, y_rep in sides:
+                if y_rep != last:  # rows with one y are neighbours
+                    last, y = y_rep, shingle_set(y_text, n, hashes)
+                x = shingle_set(x_text, n, hashes)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                kept.append(100 * common >= percent * (len(x) + len(y) - common))
+            kept = pa.array(kept, pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([c1 for c1, _ in keys], pa.int64()),
-                    pa.array([c2 for _, c2 in keys], pa.int64()),
-                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                ],
-                names=["c1", "c2", "shingles"],
+                [batch.column("x_rep").filter(kept), batch.column("y_rep").filter(kept)], names=["a", "b"]
             )
 
     return run
@@ -180,6 +192,26 @@ def _ceil_div(a: Column, b: int) -> Column:
     return F.ceil(a / F.lit(b))
 
 
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The suffix filter: shingles are counted in segments of the hash range, and sets whose counts
+    differ by so much in total have at least so many shingles that are not shared."""
+    return np.abs(x.astype(np.int16) - y).sum(axis=1, dtype=np.int64)
+
+
+def _bytes(counts: np.ndarray) -> bytes:
+    """Counts as bytes; larger ones become 255, which keeps differences bounds from below."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def _counts(segments, number: int = SEGMENTS) -> np.ndarray:
+    return np.frombuffer(b"".join(segments), dtype=np.uint8).reshape(-1, number)
+
+
+@F.pandas_udf(LongType())
+def _segments_apart(x: pd.Series, y: pd.Series) -> pd.Series:
+    return pd.Series(_apart(_counts(x), _counts(y)))
+
+
 def _verified(
     pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, percent: int
 ) -> DataFrame:
@@ -189,42 +221,31 @@ def _verified(
         size = F.col("n_shingles").cast("long").alias(f"{p}_n_shingles")
         return classes.select(size, *[F.col(c).alias(f"{p}_{c}") for c in ("c1", "c2", "rep", "segments")])
 
-    # Length filter, and the suffix filter: shingles that fall into unequal segments differ.
     shared = _ceil_div(percent * (F.col("x_n_shingles") + F.col("y_n_shingles")), 100 + percent)
-    apart = F.aggregate(
-        F.zip_with("x_segments", "y_segments", lambda a, b: F.abs(a - b)), F.lit(0), lambda s, x: s + x
-    )
     close = (
         pairs.join(side("x"), F.col("x") == F.col("x_c1"))
         .join(side("y"), F.col("y") == F.col("y_c1"))
         .where(
             (100 * F.col("x_n_shingles") >= percent * F.col("y_n_shingles"))
             & (100 * F.col("y_n_shingles") >= percent * F.col("x_n_shingles"))
-            & (apart <= F.col("x_n_shingles") + F.col("y_n_shingles") - 2 * shared)
         )
-        .select("x_c1", "x_c2", "x_rep", "y_c1", "y_c2", "y_rep")
+        .where(
+            _segments_apart("x_segments", "y_segments")
+            <= F.col("x_n_shingles") + F.col("y_n_shingles") - 2 * shared
+        )
+        .select("x_rep", "y_rep")
     )
     close = stored(close, "pairs")
-    needed = close.select(F.col("x_rep").alias("id")).unionByName(close.select(F.col("y_rep").alias("id")))
-    sets = stored(
-        rows_with_ids(docs, needed)
-        .select("text")
-        .mapInArrow(_sets(n), "c1 long, c2 long, shingles array<long>")
-        .dropDuplicates(["c1", "c2"]),
-        "sets",
-    )
 
-    def with_set(df: DataFrame, p: str) -> DataFrame:
-        own = sets.select(F.col("c1").alias("s1"), F.col("c2").alias("s2"), F.col("shingles").alias(f"{p}_set"))
-        return df.join(own, (F.col(f"{p}_c1") == F.col("s1")) & (F.col(f"{p}_c2") == F.col("s2"))).drop("s1", "s2")
+    def with_text(df: DataFrame, p: str) -> DataFrame:
+        """Add the text of one side. Texts are smaller than sets, and are not stored."""
+        own = rows_with_ids(docs, close.select(f"{p}_rep")).select(
+            F.col("doc_id").alias("own_id"), F.col("text").alias(f"{p}_text")
+        )
+        return df.join(own, F.col(f"{p}_rep") == F.col("own_id")).drop("own_id")
 
-    common = F.size(F.array_intersect("x_set", "y_set"))
-    union = F.size("x_set") + F.size("y_set") - common
-    return (
-        with_set(with_set(close, "x"), "y")
-        .where(100 * common >= percent * union)
-        .select(F.col("x_rep").alias("a"), F.col("y_rep").alias("b"))
-    )
+    texts = with_text(with_text(close.select("x_rep", "y_rep"), "x"), "y")
+    return texts.select("x_rep", "x_text", "y_rep", "y_text").mapInArrow(_similar(n, percent), "a long, b long")
 
 
 def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
@@ -247,10 +268,11 @@ def near_copies(
     table gives an empty result.
     """
     docs = only(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    spark = docs.sparkSession
     described = stored(
         docs.mapInArrow(
             _describe(n),
-            "doc_id long, n_shingles int, c1 long, c2 long, segments array<int>,"
+            "doc_id long, n_shingles int, c1 long, c2 long, segments binary, coarse binary,"
             " tokens array<long>, counts array<long>",
         ),
         "described",
@@ -263,6 +285,7 @@ def near_copies(
             F.min("doc_id").alias("rep"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("segments").alias("segments"),
+            F.first("coarse").alias("coarse"),
         ),
         "classes",
     )
@@ -274,21 +297,22 @@ def near_copies(
         ),
         "postings",
     )
-    ends = (
-        postings.groupBy("token")
-        .agg(F.min("c1").alias("low"), F.max("c1").alias("high"))
-        .where("low != high")
-    )
-    shared = stored(postings.join(ends, "token"), "shared")
+    parts = []
+    for part in _parts(postings):
+        ends = part.groupBy("token").agg(F.min("c1").alias("low"), F.max("c1").alias("high")).where("low != high")
+        parts.append(stored(part.join(ends.drop("high"), "token"), "shared"))
+        release(spark)
+    shared = reduce(DataFrame.unionByName, parts)
+    discard(postings)
 
-    stars = _pairs(shared, "c1", "low").unionByName(_pairs(shared, "c1", "high")).distinct()
-    links = stored(_verified(stars, docs, classes, n, percent), "links")
+    links = stored(_verified(_pairs(shared, "c1", "low"), docs, classes, n, percent), "links")
+    release(spark)
 
     # What the stars connect is done; pairs across components are left.
     found = connected_components(links)
     labels = stored(
         classes.join(found, classes.rep == found.node, "left").select(
-            "c1", F.coalesce("component", "rep").alias("component")
+            "c1", "coarse", F.coalesce("component", "rep").alias("component")
         ),
         "labels",
     )
@@ -300,9 +324,17 @@ def near_copies(
         .select("token")
     )
     rest = stored(rest.join(split, "token", "left_semi"), "rest")
-    across = _across(rest, percent)
-    more = _verified(across, docs, classes, n, percent)
-    links = stored(links.unionByName(more), "links")
+    for part in parts:
+        discard(part)
+    release(spark)
+    met = []
+    for part in _parts(rest):
+        met.append(stored(_across(part, percent), "across"))
+        release(spark)
+    across = reduce(DataFrame.unionByName, met).distinct()
+    discard(rest)
+    links = stored(links.unionByName(_verified(across, docs, classes, n, percent)), "links")
+    release(spark)
 
     # Classes alone with one member need no row: their document is its own component.
     final = connected_components(links)
@@ -327,36 +359,39 @@ def near_copies(
     )
 
 
+def _parts(rows: DataFrame) -> list[DataFrame]:
+    return [rows.where(F.pmod("token", F.lit(PARTS)) == k) for k in range(PARTS)]
+
+
 def _across(rest: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes in different components that share a prefix shingle and pass the filters."""
-    parts = rest.select("token", "component").distinct()
-    meets = (
-        parts.alias("l")
-        .join(parts.alias("r"), "token")
-        .where(F.col("l.component") < F.col("r.component"))
-        .select("token", F.col("l.component").alias("l_component"), F.col("r.component").alias("r_component"))
-    )
 
-    def side(p: str) -> DataFrame:
-        size = F.col("size").cast("long").alias(f"{p}_size")
-        return rest.select("token", size, *[F.col(c).alias(f"{p}_{c}") for c in ("component", "c1", "pos")])
-
-    both = meets.join(side("l"), ["token", "l_component"]).join(side("r"), ["token", "r_component"])
-    l_size, r_size, l_pos, r_pos = (F.col(c) for c in ("l_size", "r_size", "l_pos", "r_pos"))
-    # The shorter set of a pair needs a shorter prefix.
-    index = lambda size, pos: pos <= size - _ceil_div(2 * percent * size, 100 + percent)
-    needed = _ceil_div(percent * (l_size + r_size), 100 + percent)
-    return _pairs(
-        both.where(
-            (100 * l_size >= percent * r_size)
-            & (100 * r_size >= percent * l_size)
-            & (((l_size <= r_size) & index(l_size, l_pos)) | ((r_size <= l_size) & index(r_size, r_pos)))
+    def compare(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        c1, component, block, size, pos = (
+            rows.column(c).to_numpy().astype(np.int64) for c in ("c1", "component", "block", "size", "pos")
+        )
+        segments = _counts(rows.column("coarse").to_pylist(), COARSE)
+        needs_index = -(-2 * percent * size // (100 + percent))
+        in_index = pos <= size - needs_index  # the shorter set of a pair needs a shorter prefix
+        for i, j in pairs_in_groups(starts, block):
+            ok = (component[i] != component[j]) & (
+                100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])
+            )
+            ok &= ((size[i] <= size[j]) & in_index[i]) | ((size[j] <= size[i]) & in_index[j])
             # Position filter: what follows the first shared shingle bounds the overlap.
-            & (F.least(l_size - l_pos, r_size - r_pos) >= needed)
-        ),
-        "l_c1",
-        "r_c1",
-    )
+            needed = -(-percent * (size[i] + size[j]) // (100 + percent))
+            ok &= np.minimum(size[i] - pos[i], size[j] - pos[j]) >= needed
+            i, j, needed = i[ok], j[ok], needed[ok]
+            close = np.empty(len(i), dtype=bool)
+            for k in range(0, len(i), ROWS // 4):
+                part = slice(k, k + ROWS // 4)
+                most = size[i[part]] + size[j[part]] - 2 * needed[part]
+                close[part] = _apart(segments[i[part]], segments[j[part]]) <= most
+            if close.any():
+                yield pa.RecordBatch.from_pydict({"l": c1[i[close]], "r": c1[j[close]]})
+
+    dealt = paired_blocks(rest, ["token"], "c1")
+    return _pairs(map_groups(dealt, ["token"], compare, "l long, r long"), "l", "r")
 
 
 def drop_near_copies(
