@@ -199,8 +199,9 @@ def drop_repeated_lines(
         F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "lines"
     )
     hashed = _keyed(docs, id_col, text_col).mapInArrow(_hashed, "doc_id long, text string, text_hash long")
+    # The same plan at every size: whole texts move once, to the lines that go from them.
     joined = hashed.join(
-        gone, (F.col("doc_id") == F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash")), "left"
+        gone.hint("merge"), (F.col("doc_id") == F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash")), "left"
     )
     cleaned = joined.select("doc_id", "text", "lines").mapInArrow(
         _without, "doc_id long, n_lines long, n_removed long, text string"
