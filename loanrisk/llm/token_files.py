@@ -46,7 +46,8 @@ def encode_block(ids: np.ndarray) -> bytes:
     width = int(np.partition(values, kth)[kth]).bit_length()
     over = np.flatnonzero(values >> np.uint32(width)) if width < 32 else np.empty(0, dtype=np.int64)
     exact = values[over]
-    bits = (values[:, None] >> np.arange(width, dtype=np.uint32)).astype(np.uint8) & 1
+    whole = values.astype("<u4").view(np.uint8).reshape(-1, 4)
+    bits = np.unpackbits(whole, axis=1, bitorder="little")[:, :width]
     packed = np.packbits(bits, bitorder="little").tobytes()
     header = HEADER.pack(len(ids), low, width, len(over))
     return header + packed + over.astype("<u2").tobytes() + exact.astype("<u4").tobytes()
@@ -57,9 +58,9 @@ def decode_block(data: bytes) -> np.ndarray:
     size = (n * width + 7) // 8
     raw = np.frombuffer(data, np.uint8, size, HEADER.size)
     bits = np.unpackbits(raw, count=n * width, bitorder="little").reshape(n, width)
-    values = np.zeros(n, dtype=np.uint32)
-    for k in range(width):
-        values |= bits[:, k].astype(np.uint32) << np.uint32(k)
+    padded = np.zeros((n, 32), dtype=np.uint8)
+    padded[:, :width] = bits
+    values = np.packbits(padded, axis=1, bitorder="little").view("<u4").ravel().astype(np.uint32)
     at = HEADER.size + size
     over = np.frombuffer(data, "<u2", exceptions, at)
     values[over] = np.frombuffer(data, "<u4", exceptions, at + 2 * exceptions)
