@@ -1,8 +1,8 @@
 """Toxicity by weak supervision: many noisy voters, a label model over them, a linear classifier.
 
 1. Lexicons are counted over all labelled training texts: words, and word beginnings of 4 to 6
-   letters that occur with several endings (inflected or compounded insults). Terms that speak
-   for toxicity by their smoothed log-odds are kept.
+   letters that occur with several endings (inflected or compounded insults). All terms that speak
+   for toxicity by their smoothed log-odds and by evidence are kept, however many there are.
 2. Voters look at a text and say toxic or nothing: a built-in list in four groups, the learned
    terms dealt over several voters by kind and hash, and patterns of style.
 3. A generative label model explains the votes of a bounded sample of training rows by a hidden
@@ -27,9 +27,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType
 
-from loanrisk.llm.common import BROADCAST_IDS, only, stored, utf8_values
+from loanrisk.llm.common import BROADCAST_IDS, discard, only, stored, utf8_values
 
 # A small list of English insults, in groups.
 SEEDS = (
@@ -40,7 +40,7 @@ SEEDS = (
 )
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
-#: Learned terms have a share of more than 1 / MOST_TERMS of all counted, so there are fewer.
+#: Learned terms that are broadcast together, about; more are looked up in several parts.
 MOST_TERMS = 100_000
 LEAST_TEXTS, LEAST_ENDINGS = 3, 3
 LEAST_ODDS = 1.5
@@ -64,6 +64,23 @@ class Lexicon:
         self.stems = {p[: PREFIXES[0]] for table in self.prefixes.values() for p in table}
 
 
+@dataclass
+class Terms:
+    """All learned terms (kind, term, odds). Terms with the same first letters share one of `parts`
+    parts, so what a word is known by stands in one part and parts can be looked up one by one."""
+
+    table: DataFrame | None = None
+    parts: int = 1
+
+    def lexicon(self, part: int = 0) -> Lexicon:
+        if self.table is None:
+            return Lexicon()
+        stem = F.substring("term", 1, PREFIXES[0])
+        rows = self.table.where(F.pmod(F.xxhash64(stem), F.lit(self.parts)) == part).toPandas()
+        table = lambda n: dict(zip(rows.term[rows.kind == n], rows.odds[rows.kind == n]))
+        return Lexicon(table(0), {n: table(n) for n in PREFIXES})
+
+
 # Names of the voters, in the order of `votes`.
 VOTERS = (
     *[f"seed {k}" for k in range(len(SEEDS))],
@@ -79,8 +96,8 @@ def words_of(text: str) -> set[str]:
     return set(WORD.findall(text.lower()))
 
 
-def features(text: str, lexicon: Lexicon) -> np.ndarray:
-    """The votes (0 or 1) and the strengths of a text; all 0 for an empty one."""
+def found(text: str, lexicon: Lexicon) -> np.ndarray:
+    """The votes (0 or 1), numbers and sums of odds of a text; all 0 for an empty one."""
     out = np.zeros(len(VOTERS) + len(STRENGTHS))
     if not text:
         return out
@@ -110,55 +127,63 @@ def features(text: str, lexicon: Lexicon) -> np.ndarray:
     out[at] = ADDRESS.search(text) is not None
     out[at + 1] = text.isupper()
     out[at + 2] = text.count("!") > 3
-    out[len(VOTERS) :] = (
-        math.log1p(seeds),
-        math.log1p(len(known)),
-        math.log1p(len(begun)),
-        min(10.0, sum(lexicon.words[w] for w in known)),
-        min(30.0, sum(begun)),
-    )
+    out[len(VOTERS) :] = (seeds, len(known), len(begun), sum(lexicon.words[w] for w in known), sum(begun))
     return out
 
 
-def _count_terms(labelled: DataFrame, wanted) -> DataFrame:
-    """(kind, term, n): the texts that hold each term; `wanted` (a broadcast) limits the terms."""
+def joined(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """What two parts of the terms find in a text; what does not depend on terms is in both."""
+    out = np.maximum(one, other)
+    out[len(VOTERS) + 1 :] = one[len(VOTERS) + 1 :] + other[len(VOTERS) + 1 :]
+    return out
+
+
+def features(whole: np.ndarray) -> np.ndarray:
+    """The votes and the strengths from what all terms find in a text."""
+    out = whole.copy()
+    at = len(VOTERS)
+    out[at : at + 3] = [math.log1p(x) for x in whole[at : at + 3]]
+    out[at + 3 :] = min(10.0, whole[at + 3]), min(30.0, whole[at + 4])
+    return out
+
+
+def _count_terms(labelled: DataFrame) -> DataFrame:
+    """(kind, term, n, n_clean): the toxic and the clean texts that hold each term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        allowed = wanted.value if wanted is not None else None
-        counts: dict[int, Counter] = {n: Counter() for n in (0, *PREFIXES)}
+        counts = {(n, toxic): Counter() for n in (0, *PREFIXES) for toxic in (0, 1)}
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for kind, counter in counts.items():
+            for (kind, toxic), counter in counts.items():
                 if counter:
+                    seen, none = pa.array(list(counter.values()), pa.int64()), pa.array([0] * len(counter), pa.int64())
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([kind] * len(counter), pa.int32()),
                             pa.array(list(counter), pa.string()),
-                            pa.array(list(counter.values()), pa.int64()),
+                            *((seen, none) if toxic else (none, seen)),
                         ],
-                        names=["kind", "term", "n"],
+                        names=["kind", "term", "n", "n_clean"],
                     )
                 counter.clear()
 
         for batch in batches:
-            for data in utf8_values(batch.column("text")):
+            for data, toxic in zip(utf8_values(batch.column("text")), batch.column("toxic").to_pylist()):
                 words = words_of(data.decode())
-                for kind, counter in counts.items():
-                    terms = {w[:kind] for w in words if len(w) >= kind} if kind else words
-                    counter.update(terms if allowed is None else terms & allowed[kind])
+                for kind in (0, *PREFIXES):
+                    counts[kind, toxic].update({w[:kind] for w in words if len(w) >= kind} if kind else words)
                 if sum(map(len, counts.values())) > COUNTED:
                     yield from flush()
         yield from flush()
 
-    rows = labelled.select("text").mapInArrow(run, "kind int, term string, n long")
-    return rows.groupBy("kind", "term").agg(F.sum("n").alias("n"))
+    rows = labelled.select("text", "toxic").mapInArrow(run, "kind int, term string, n long, n_clean long")
+    return rows.groupBy("kind", "term").agg(F.sum("n").alias("n"), F.sum("n_clean").alias("n_clean"))
 
 
-def learn_lexicon(labelled: DataFrame) -> Lexicon:
-    """Terms that speak for toxicity, counted over all rows of `labelled` (text, toxic)."""
-    spark = labelled.sparkSession
-    toxic = stored(_count_terms(labelled.where("toxic = 1"), None), "toxic_terms")
-    total = toxic.agg(F.sum("n")).first()[0] or 0
+def learn_terms(labelled: DataFrame, pos_texts: int, neg_texts: int) -> Terms:
+    """Terms that speak for toxicity, counted and tested over all rows of `labelled` (text, toxic),
+    which holds so many toxic and clean rows."""
+    toxic = stored(_count_terms(labelled).where("n > 0"), "toxic_terms")
     endings = F.explode(F.array(*[F.struct(F.lit(n).alias("kind"), F.substring("term", 1, n).alias("term")) for n in PREFIXES]))
     varied = (
         toxic.where("kind = 0")
@@ -166,31 +191,33 @@ def learn_lexicon(labelled: DataFrame) -> Lexicon:
         .groupBy("p.kind", "p.term")
         .agg(F.count(F.lit(1)).alias("endings"))
     )
-    frequent = (F.col("n") >= LEAST_TEXTS) & (F.col("n") > F.lit(total / MOST_TERMS))
     candidates = (
-        toxic.where(frequent)
+        toxic.where(F.col("n") >= LEAST_TEXTS)
         .join(varied, ["kind", "term"], "left")
         .where((F.col("kind") == 0) | (F.col("endings") >= LEAST_ENDINGS))
-        .select("kind", "term", "n")
-        .toPandas()
+        .select("kind", "term", "n", "n_clean")
     )
-    by_kind = {n: set(candidates.term[candidates.kind == n]) for n in (0, *PREFIXES)}
-    clean = _count_terms(labelled.where("toxic = 0"), spark.sparkContext.broadcast(by_kind)).toPandas()
-    sizes = dict(labelled.groupBy("toxic").count().collect())
-    pos_texts, neg_texts = sizes.get(1, 0), sizes.get(0, 0)
-    merged = candidates.merge(clean, on=["kind", "term"], how="left", suffixes=("", "_clean")).fillna({"n_clean": 0})
-    p, q = merged.n + 0.5, merged.n_clean + 0.5
-    not_p, not_q = (pos_texts - merged.n).clip(lower=0) + 0.5, (neg_texts - merged.n_clean).clip(lower=0) + 0.5
-    merged["odds"] = np.log(p / not_p) - np.log(q / not_q)
+    candidates = stored(candidates, "candidate_terms")
+    tested = dict(candidates.groupBy("kind").count().collect())
+    p, q = F.col("n") + 0.5, F.col("n_clean") + 0.5
+    not_p, not_q = pos_texts - F.col("n") + 0.5, neg_texts - F.col("n_clean") + 0.5
     # How unlikely so many toxic texts are by chance (Chernoff), for all terms tested together.
-    texts, base = merged.n + merged.n_clean, pos_texts / (pos_texts + neg_texts)
-    rate = merged.n / texts
-    other = (1 - rate).clip(lower=1e-12)
-    merged["evidence"] = texts * (rate * np.log(rate / base) + other * np.log(other / (1 - base)))
-    tested = merged.groupby("kind").term.transform("size")
-    kept = merged[(merged.odds >= LEAST_ODDS) & (rate > base) & (merged.evidence >= np.log(tested / CHANCE))]
-    table = lambda n: dict(zip(kept.term[kept.kind == n], kept.odds[kept.kind == n].astype(float)))
-    return Lexicon(table(0), {n: table(n) for n in PREFIXES})
+    texts, base = F.col("n") + F.col("n_clean"), pos_texts / (pos_texts + neg_texts)
+    rate = F.col("n") / texts
+    other = F.greatest(1 - rate, F.lit(1e-12))
+    evidence = texts * (rate * F.log(rate / base) + other * F.log(other / (1 - base)))
+    enough = F.lit(False)
+    for kind, number in tested.items():
+        enough = F.when(F.col("kind") == kind, evidence >= math.log(number / CHANCE)).otherwise(enough)
+    kept = (
+        candidates.withColumn("odds", F.log(p / not_p) - F.log(q / not_q))
+        .where((F.col("odds") >= LEAST_ODDS) & (rate > base) & enough)
+        .select("kind", "term", "odds")
+    )
+    kept = stored(kept, "learned_terms")
+    discard(toxic)
+    discard(candidates)
+    return Terms(kept, max(1, math.ceil(kept.count() / MOST_TERMS)))
 
 
 def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, pd.DataFrame]:
@@ -242,13 +269,43 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 5
 
 @dataclass
 class Model:
-    lexicon: Lexicon
+    terms: Terms
     weights: np.ndarray
     voters: pd.DataFrame | None = None
 
-    def score(self, text: str | None) -> float:
-        x = features(text or "", self.lexicon)
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, float(x @ self.weights[:-1] + self.weights[-1])))))
+
+def probability(whole: np.ndarray, weights: np.ndarray) -> float:
+    """P(toxic) from what all terms find in a text."""
+    x = float(features(whole) @ weights[:-1] + weights[-1])
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
+
+
+def _looked_up(docs: DataFrame, lexicon: Lexicon, text_col: str, name: str) -> DataFrame:
+    """Add what one part of the terms finds in every text to what other parts have found."""
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def first(texts: pd.Series) -> pd.Series:
+        return pd.Series([found(text or "", shared.value) for text in texts])
+
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def further(texts: pd.Series, before: pd.Series) -> pd.Series:
+        return pd.Series([joined(x, found(text or "", shared.value)) for text, x in zip(texts, before)])
+
+    text = F.col(f"`{text_col}`")
+    return docs.withColumn(name, further(text, F.col(name)) if name in docs.columns else first(text))
+
+
+def with_found(docs: DataFrame, terms: Terms, text_col: str, name: str) -> DataFrame:
+    """Add what all terms find in every text (see `found`). With several parts of terms there is one
+    pass over the rows for each, and the rows are written between passes."""
+    rows, held = _looked_up(docs, terms.lexicon(), text_col, name), None
+    for part in range(1, terms.parts):
+        held, last = stored(rows, "found"), held
+        if last is not None:
+            discard(last)
+        rows = _looked_up(held, terms.lexicon(part), text_col, name)
+    return rows
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -268,42 +325,40 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     known = stored(known, "labels")
     small = known.count() <= BROADCAST_IDS
     labelled = only(documents, doc_id="doc_id", text="text").join(F.broadcast(known) if small else known, "doc_id")
-    if labelled.select("toxic").distinct().count() < 2:
+    sizes = dict(labelled.groupBy("toxic").count().collect())
+    if len(sizes) < 2:
         weights = np.zeros(len(VOTERS) + len(STRENGTHS) + 1)
         weights[: len(SEEDS)] = 3.0
         weights[-1] = -3.0
-        return Model(Lexicon(), weights)
-    lexicon = learn_lexicon(labelled)
-    shared = documents.sparkSession.sparkContext.broadcast(lexicon)
-
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = [features(data.decode(), shared.value) for data in utf8_values(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), pa.array(x, pa.list_(pa.float64()))], names=["toxic", "x"]
-            )
-
+        return Model(Terms(), weights)
+    terms = learn_terms(labelled, sizes[1], sizes[0])
     # Rows are chosen by hash before their texts are looked at.
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = (
-        labelled.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
-        .select("toxic", "text")
-        .mapInArrow(describe, "toxic int, x array<double>")
-        .toArrow()
-    )
-    x = np.array(rows.column("x").to_pylist()).reshape(rows.num_rows, -1)
+    rows = labelled.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").select("toxic", "text")
+    rows = with_found(rows, terms, "text", "x").select("toxic", "x").toArrow()
+    x = np.array([features(np.array(whole)) for whole in rows.column("x").to_pylist()]).reshape(rows.num_rows, -1)
     given = rows.column("toxic").to_numpy().astype(float)
     posterior, voters = label_model(x[:, : len(VOTERS)], given)
-    return Model(lexicon, logistic(x, posterior), voters)
+    return Model(terms, logistic(x, posterior), voters)
 
 
 def with_score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
     """Add P(toxic) of every whole text; null counts as empty, which has a score too."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    weights = model.weights
+    if model.terms.parts > 1:
+
+        @F.pandas_udf(DoubleType())
+        def weigh(whole: pd.Series) -> pd.Series:
+            return whole.map(lambda x: probability(x, weights)).astype("float64")
+
+        found_in = with_found(docs, model.terms, text_col, "_found")
+        return found_in.withColumn(name, weigh("_found")).drop("_found")
+    shared = docs.sparkSession.sparkContext.broadcast(model.terms.lexicon())
 
     @F.pandas_udf(DoubleType())
     def score(texts: pd.Series) -> pd.Series:
-        return texts.map(shared.value.score, na_action=None).astype("float64")
+        one = lambda text: probability(found(text or "", shared.value), weights)
+        return texts.map(one, na_action=None).astype("float64")
 
     return docs.withColumn(name, score(F.col(f"`{text_col}`")))
 

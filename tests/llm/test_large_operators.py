@@ -207,6 +207,51 @@ def test_toxicity_without_labels_or_documents(spark):
     assert toxicity.score_documents(docs.limit(0), none).count() == 0
 
 
+INSULTS = "zorblin kwerta gruxoan plimfet vuskand yabroth quendle hixmar jolvent wumpish drekkol snarvit".split()
+
+
+def labelled_texts(rng, n, insults):
+    """Texts of harmless words, a fifth of them toxic by one insult; and their labels."""
+    words = [f"{a}{b}" for a in "bcdfglmnprst" for b in ("ano", "ira", "ulo", "esto", "anda")]
+    rows, labels = [], []
+    for k in range(n):
+        text = [rng.choice(words) for _ in range(rng.randrange(5, 40))]
+        if k % 5 == 0:
+            text.append(insults[k // 5 % len(insults)])
+        rows.append((k, " ".join(text)))
+        labels.append((k, int(k % 5 == 0)))
+    return rows, labels
+
+
+def test_rare_insults_are_learned_beside_a_text_of_many_words(spark):
+    rows, labels = labelled_texts(random.Random(9), 1000, INSULTS)
+    letters = "abcdefghij"
+    many = " ".join("".join(letters[int(d)] for d in f"{k:07d}") for k in range(0, 9_000_000, 11))
+    rows, labels = [*rows, (5000, many)], [*labels, (5000, 1)]
+    given = spark.createDataFrame(labels, "doc_id long, toxic int")
+    out = toxicity.score_documents(documents(spark, rows), given).toPandas()
+    truth = dict(labels[:1000])
+    tested = out[out.held_out & out.doc_id.isin(truth)]
+    right = [p == truth[int(i)] for i, p in zip(tested.doc_id, tested.predicted)]
+    assert len(right) > 150 and sum(right) >= 0.98 * len(right)
+
+
+def test_terms_in_several_parts_give_the_same_scores(spark, monkeypatch):
+    rows, labels = labelled_texts(random.Random(10), 400, ["zorblin", "kwerta", "gruxoan", "gruxoel", "gruxois"])
+    docs = documents(spark, [*rows, (None, "zorblin kwerta IDIOT"), (700, None), (701, "")])
+    given = spark.createDataFrame(labels, "doc_id long, toxic int")
+    one = toxicity.score_documents(docs, given).toPandas()
+    monkeypatch.setattr(toxicity, "MOST_TERMS", 2)
+    model = toxicity.fit(docs, given)
+    assert model.terms.parts > 2
+    parts = toxicity.score_documents(docs, given).toPandas()
+    order = ["doc_id", "score"]
+    one, parts = one.sort_values(order), parts.sort_values(order)
+    assert one.predicted.sum() > 40 and parts.predicted.tolist() == one.predicted.tolist()
+    assert np.allclose(parts.score, one.score)
+    assert toxicity.drop_toxic(docs, given).columns == docs.columns
+
+
 # ---- pipeline and registration
 
 
