@@ -313,7 +313,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     Labels that are null or neither 0 nor 1 are left out; of several labels of a document the
     larger counts. Terms are counted over all labelled rows, the label model and the classifier
-    use `sample` of them, those with the smallest hash. Without labels of both kinds the built-in
+    use `sample` of them (all, if they are fewer), those with the smallest hash. Without labels of both kinds the built-in
     voters decide alone.
     """
     known = (
@@ -332,10 +332,13 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         weights[-1] = -3.0
         return Model(Terms(), weights)
     terms = learn_terms(labelled, sizes[1], sizes[0])
-    # Rows are chosen by hash before their texts are looked at.
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = labelled.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").select("toxic", "text")
-    rows = with_found(rows, terms, "text", "x").select("toxic", "x").toArrow()
+    # Ids are chosen by hash among those that have a document, before texts are looked at; repeated
+    # rows of an id can still be more than the bound.
+    by_hash = (F.xxhash64("doc_id"), "doc_id")
+    chosen = labelled.select("doc_id").distinct().orderBy(*by_hash).limit(sample)
+    rows = labelled.join(F.broadcast(chosen), "doc_id", "left_semi")
+    rows = with_found(rows, terms, "text", "x").select("doc_id", "toxic", "x")
+    rows = rows.orderBy(*by_hash, "x").limit(sample).select("toxic", "x").toArrow()
     x = np.array([features(np.array(whole)) for whole in rows.column("x").to_pylist()]).reshape(rows.num_rows, -1)
     given = rows.column("toxic").to_numpy().astype(float)
     posterior, voters = label_model(x[:, : len(VOTERS)], given)

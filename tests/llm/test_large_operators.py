@@ -236,6 +236,19 @@ def test_rare_insults_are_learned_beside_a_text_of_many_words(spark):
     assert len(right) > 150 and sum(right) >= 0.98 * len(right)
 
 
+@pytest.mark.parametrize("copies", [1, 3])
+def test_the_sample_is_taken_from_labels_with_documents(spark, monkeypatch, copies):
+    rows, labels = labelled_texts(random.Random(11), 300, INSULTS[:2])
+    labels += [(k, 0) for k in range(10_000, 18_000)]
+    sizes, model = [], toxicity.label_model
+    monkeypatch.setattr(toxicity, "label_model", lambda votes, given: sizes.append(len(given)) or model(votes, given))
+    given = spark.createDataFrame(labels, "doc_id long, toxic int")
+    docs = documents(spark, rows * copies)
+    toxicity.fit(docs, given, sample=250)
+    toxicity.fit(docs, given, sample=2000)
+    assert sizes == [250, 300 * copies]
+
+
 def test_terms_in_several_parts_give_the_same_scores(spark, monkeypatch):
     rows, labels = labelled_texts(random.Random(10), 400, ["zorblin", "kwerta", "gruxoan", "gruxoel", "gruxois"])
     docs = documents(spark, [*rows, (None, "zorblin kwerta IDIOT"), (700, None), (701, "")])
