@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanrisk.llm.common import only
-from loanrisk.llm.word_index import WordIndex, gather, pieces
+from loanrisk.llm.word_index import WordIndex, gather, id_type, pieces
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -56,7 +56,7 @@ class ByteBpe:
         self._bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
         # Every pair of tokens that makes a token, whichever way the token is cut.
         made = sorted(
-            (left << 20 | right, rank)
+            (left << 32 | right, rank)
             for token, rank in ranks.items()
             for k in range(1, len(token))
             if (left := ranks.get(token[:k], -1)) >= 0 and (right := ranks.get(token[k:], -1)) >= 0
@@ -64,7 +64,8 @@ class ByteBpe:
         self._pairs = np.array([p for p, _ in made], dtype=np.int64)
         self._pair_ranks = np.array([r for _, r in made], dtype=np.int32)
         self._find = regex.compile(pattern).findall
-        self.words = WordIndex(self._encode_words)
+        self._dtype = id_type(len(tokens) - 1)
+        self.words = WordIndex(self._encode_words, self._dtype)
 
     def numbers(self, text: str | None) -> np.ndarray:
         """The numbers of a text's words in the index; null counts as empty."""
@@ -88,14 +89,14 @@ class ByteBpe:
         sizes = np.ones(len(words), dtype=np.int64)
         merged = [data[k] for k in rest.tolist()]
         flat, sizes[rest] = self.merge(merged) if merged else (np.empty(0, dtype=np.int32), 0)
-        ids = np.empty(int(sizes.sum()), dtype=np.uint16)
+        ids = np.empty(int(sizes.sum()), dtype=self._dtype)
         single = np.repeat(whole >= 0, sizes)
         ids[single], ids[~single] = whole[whole >= 0], flat
         return ids, sizes
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The ranks of the tokens that neighbours make; `NEVER` where they make none."""
-        code = left.astype(np.int64) << 20 | right
+        code = left.astype(np.int64) << 32 | right
         at = np.minimum(np.searchsorted(self._pairs, code), len(self._pairs) - 1)
         return np.where(self._pairs[at] == code, self._pair_ranks[at], NEVER)
 

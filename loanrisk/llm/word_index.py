@@ -11,6 +11,11 @@ MOST_WORDS = 300_000
 PIECE = 1 << 20
 
 
+def id_type(largest: int) -> np.dtype:
+    """The narrowest type of ids up to `largest`: two bytes, or four."""
+    return np.dtype(np.uint16 if largest < 1 << 16 else np.uint32)
+
+
 class _Numbers(dict):
     def __missing__(self, word: str) -> int:
         self[word] = number = len(self)
@@ -20,14 +25,14 @@ class _Numbers(dict):
 class WordIndex:
     """Numbers words as they are met; `learn` encodes all new ones together."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = MOST_WORDS):
-        self._encode, self._most = encode, most
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], dtype: np.dtype, most: int = MOST_WORDS):
+        self._encode, self._dtype, self._most = encode, dtype, most
         self.forget()
 
     def forget(self) -> None:
         self._numbers = _Numbers()
         self._start = np.zeros(1, dtype=np.int64)  # ids of word k: _ids[_start[k]:_start[k + 1]]
-        self._ids = np.empty(0, dtype=np.uint16)
+        self._ids = np.empty(0, dtype=self._dtype)
 
     def numbers(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self._numbers.__getitem__, words), dtype=np.int32, count=len(words))

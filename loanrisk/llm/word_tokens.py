@@ -16,7 +16,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import public_tokenizers
 
-from loanrisk.llm.word_index import WordIndex, pieces
+from loanrisk.llm.word_index import WordIndex, id_type, pieces
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
@@ -39,7 +39,8 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(vocabulary)
-        self._words = WordIndex(self._encode_words)
+        self._dtype = id_type(max(self._library.get_vocab(with_added_tokens=True).values()))
+        self._words = WordIndex(self._encode_words, self._dtype)
 
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids, sizes = [], []
@@ -47,15 +48,15 @@ class WordTokens:
             found = [e.ids for e in self._library.encode_batch(words[k : k + SLICE], add_special_tokens=False)]
             part = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
             sizes.append(part)
-            ids.append(np.fromiter((i for x in found for i in x), dtype=np.uint16, count=int(part.sum())))
+            ids.append(np.fromiter((i for x in found for i in x), dtype=self._dtype, count=int(part.sum())))
         return np.concatenate(ids), np.concatenate(sizes)
 
     def _waiting(self, text: str | None) -> tuple[bool, np.ndarray]:
         """Whether the text is encoded already, and its ids or else the numbers of its words."""
         if not text:
-            return True, np.empty(0, dtype=np.uint16)
+            return True, np.empty(0, dtype=self._dtype)
         if NOT_PLAIN.search(text):
-            return True, np.array(self._library.encode(text, add_special_tokens=False).ids, dtype=np.uint16)
+            return True, np.array(self._library.encode(text, add_special_tokens=False).ids, dtype=self._dtype)
         return False, np.concatenate([self._words.numbers(WORD.findall(p.lower())) for p in pieces(text)])
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
@@ -77,5 +78,6 @@ class WordTokens:
         self._words.trim()
 
     def documents(self, texts: Iterable[str | None], end_id: int = END_ID) -> Iterator[np.ndarray]:
+        end = np.array([end_id], dtype=id_type(end_id))
         for ids in self.encode(texts):
-            yield np.append(ids, np.uint16(end_id))
+            yield np.concatenate([ids, end])

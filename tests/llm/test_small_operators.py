@@ -203,6 +203,20 @@ def test_encode_documents(spark):
     assert byte_bpe.encode_documents(documents(spark, ODD).limit(0)).count() == 0
 
 
+def test_ids_beyond_two_bytes(spark, tmp_path):
+    tokens = [(bytes([b]), b) for b in range(256)] + [(b"ab", 65_500), (b"cd", 70_000), (b"abcd", 1_200_000), (b"abcdab", 1_200_001)]
+    path = tmp_path / "large.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % rank for t, rank in tokens))
+    docs = documents(spark, [(1, "cd"), (2, "abcdcdx"), (3, "abcdabcd"), (4, None)])
+    got = {r.doc_id: (r.ids, bytes(r.decoded)) for r in byte_bpe.encode_documents(docs, vocabulary=str(path)).collect()}
+    assert got == {
+        1: ([70_000], b"cd"), 2: ([1_200_000, 70_000, ord("x")], b"abcdcdx"),
+        3: ([1_200_000, 1_200_000], b"abcdabcd"), 4: ([], b""),
+    }
+    ends = [x.tolist() for x in WordTokens().documents(["word", None], 70_000)]
+    assert [x[-1] for x in ends] == [70_000, 70_000] and ends[0][:-1] == next(WordTokens().encode(["word"])).tolist()
+
+
 # ---- word tokens, token files
 
 
