@@ -47,7 +47,8 @@ def scd2_merge(
     key is missing or comes twice (see `dedup_by_key`), or when `is_current` is null in a row.
 
     Only current versions take part in the join, one per key on both sides, so long histories add
-    no skew: they pass through untouched.
+    no skew: they pass through untouched. So do current versions without a key, which nothing
+    matches; a missing incoming key is found before rows are moved.
     """
     attributes = [c for c in dim.columns if c not in VERSION_COLUMNS]
     day = _load_day(load_date)
@@ -61,16 +62,18 @@ def scd2_merge(
         )
 
     copies = Window.partitionBy("_new_key").orderBy(F.lit(0))
-    new = incoming.select(F.col(key).alias("_new_key"), F.struct(*attributes).alias("_new"))
+    no_key = F.raise_error(F.lit("scd2_merge: an incoming key is missing")).cast("boolean")
+    keyed = incoming.where(F.when(F.col(key).isNull(), no_key).otherwise(True))
+    new = keyed.select(F.col(key).alias("_new_key"), F.struct(*attributes).alias("_new"))
     new = new.withColumn("_copy", F.row_number().over(copies))
     unknown = F.raise_error(F.lit("scd2_merge: is_current is null")).cast("boolean")
     current = F.coalesce(F.col("is_current"), unknown)
-    old = dim.where(current).select(F.col(key).alias("_old_key"), F.struct(*dim.columns).alias("_old"))
+    keyless = F.col(key).isNull()
+    old = dim.where(F.when(current, ~keyless).otherwise(False)).select(F.col(key).alias("_old_key"), F.struct(*dim.columns).alias("_old"))
 
     has_old, has_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
     checks = {
         "the load is older than a current version": F.col("_old.effective_date") > day,
-        "an incoming key is missing": has_new & F.col("_new_key").isNull(),
         "an incoming key comes twice": F.col("_copy") > 1,
     }
     passes = F.lit(True)
@@ -97,4 +100,6 @@ def scd2_merge(
         .select(F.explode(versions).alias("_v"))
         .select("_v.*")
     )
-    return dim.where(~current).unionByName(merged)
+    older = F.raise_error(F.lit("scd2_merge: the load is older than a current version")).cast("boolean")
+    waits = F.when(keyless & (F.col("effective_date") > day), older).otherwise(keyless)
+    return dim.where(F.when(current, waits).otherwise(True)).unionByName(merged)

@@ -111,3 +111,18 @@ def test_a_row_of_unknown_state_is_refused(spark, dim, incoming):
     broken = dim.withColumn("is_current", F.lit(None).cast("boolean"))
     with pytest.raises(PySparkException, match="is_current is null"):
         scd2_merge(broken, incoming, "k", TRACKED, D2).collect()
+
+
+def test_current_versions_without_a_key_bypass_the_join(spark, dim, incoming):
+    bare = scd2_initial(spark.createDataFrame([(None, "A", float(n), "n") for n in range(300)], SCHEMA), D1)
+    merged = scd2_merge(dim.unionByName(bare), incoming, "k", TRACKED, D2)
+    assert rows(merged) == sorted(rows(scd2_merge(dim, incoming, "k", TRACKED, D2)) + rows(bare), key=str)
+    with pytest.raises(PySparkException, match="older than a current version"):
+        scd2_merge(bare, incoming, "k", TRACKED, date(2023, 1, 1)).collect()
+    with_tasks = merged.withColumn("task", F.spark_partition_id()).where("k is null")
+    assert with_tasks.select("task").distinct().count() > 1
+
+
+def test_a_missing_incoming_key_fails_before_the_window(spark, dim, incoming):
+    plan = scd2_merge(dim, incoming, "k", TRACKED, D2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window [") < plan.index("an incoming key is missing")
