@@ -89,3 +89,70 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_re
   coalesce(done.text, '') AS text
 FROM documents d LEFT JOIN done USING (doc_id)
 """
+
+ORACLES["op11_lexical_search"] = r"""
+WITH cut AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM cut GROUP BY ALL),
+sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM counts GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM sizes),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counts, whole GROUP BY term, docs),
+scores AS (
+  SELECT a.item_id, c.doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // words))))::BIGINT AS score
+  FROM asked a JOIN counts c USING (term) JOIN weights USING (term) JOIN sizes s ON s.doc_id = c.doc_id, whole
+  GROUP BY ALL),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank,
+    doc_id, score FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
+ORACLES["op13_importance_resampling"] = r"""
+WITH RECURSIVE step(k, byte, state) AS (
+  SELECT 0, range, range FROM range(256)
+  UNION ALL SELECT k + 1, byte, CASE WHEN state & 1 = 1 THEN xor(state >> 1, 3988292384) ELSE state >> 1 END
+  FROM step WHERE k < 8),
+crc AS (SELECT list(state ORDER BY byte) AS bytes FROM step WHERE k = 8),
+cut AS (
+  SELECT 0 AS wanted, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+  UNION ALL
+  SELECT 1, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+hexed AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM cut)),
+hashed AS (
+  SELECT word, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(0, len(h) // 2),
+      lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, bytes[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
+  FROM hexed, crc),
+held AS (
+  SELECT bucket, count(*) FILTER (wanted = 0) AS s, count(*) FILTER (wanted = 1) AS t
+  FROM cut JOIN hashed USING (word) GROUP BY bucket),
+whole AS (SELECT sum(s)::BIGINT AS all_s, sum(t)::BIGINT AS all_t FROM held),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1) * (all_s + 10000)) / ((s + 1) * (all_t + 10000))))::BIGINT AS gain
+  FROM held, whole),
+weights AS (
+  SELECT doc_id, count(*) AS n, floor(sum(gain) / count(*))::BIGINT AS weight
+  FROM cut JOIN hashed USING (word) JOIN gains USING (bucket) WHERE wanted = 0 GROUP BY doc_id),
+scores AS (
+  SELECT d.doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5)
+      / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM documents d LEFT JOIN weights USING (doc_id)),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+    count(*) FILTER (n_features >= 20) OVER () AS able FROM scores)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN n_features >= 20 AND place <= 10 * able // 100 THEN place END AS rank FROM ordered
+"""

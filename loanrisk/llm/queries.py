@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
-from loanrisk.llm import byte_bpe, exact_dedup, line_dedup, ngram_join, packing, secret_scan, token_files, toxicity, url_filter, vector_dedup
+from loanrisk.llm import byte_bpe, cutting_stock, exact_dedup, importance_resampling, lexical_search, line_dedup, ngram_join, packing, secret_scan, token_files, toxicity, url_filter, vector_dedup
 from loanrisk.llm.common import let_workers_import, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,27 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_copies(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = cutting_stock.pack_documents(table(spark, sf_dir, "documents"))
+    return packed.withColumn("ids_crc32", packed_crc32("ids")).drop("ids")
+
+
+@F.pandas_udf(LongType())
+def packed_crc32(ids: pd.Series) -> pd.Series:
+    """Unsigned CRC-32 of packed ids as little-endian unsigned 32-bit integers."""
+    kind = f"<u{cutting_stock.id_width()}"
+    return ids.map(lambda x: zlib.crc32(np.frombuffer(x, kind).astype("<u4").tobytes()))
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.drop("n_words")

@@ -33,6 +33,7 @@ class WordIndex:
         self._numbers = _Numbers()
         self._start = np.zeros(1, dtype=np.int64)  # ids of word k: _ids[_start[k]:_start[k + 1]]
         self._ids = np.empty(0, dtype=self._dtype)
+        self._uses = np.zeros(0, dtype=np.int64)
 
     def numbers(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self._numbers.__getitem__, words), dtype=np.int32, count=len(words))
@@ -50,10 +51,27 @@ class WordIndex:
         begin = self._start[numbers]
         return gather(self._ids, begin, self._start[numbers + 1] - begin)
 
+    def note(self, numbers: np.ndarray) -> None:
+        """Count uses of learned words, for `trim`."""
+        uses = np.bincount(numbers, minlength=len(self._numbers))
+        uses[: len(self._uses)] += self._uses
+        self._uses = uses
+
     def trim(self) -> None:
-        """Bound the memory: start anew with too many words. Earlier numbers are void then."""
-        if len(self._numbers) > self._most:
-            self.forget()
+        """Bound the memory: of too many words keep the half that was used most, by what `note` has
+        counted. Earlier numbers are void then."""
+        if len(self._numbers) <= self._most:
+            return
+        uses = np.zeros(len(self._numbers), dtype=np.int64)
+        uses[: len(self._uses)] = self._uses
+        kept = np.sort(np.argsort(-uses, kind="stable")[: self._most // 2])
+        words = list(self._numbers)
+        ids, sizes = self.ids(kept), self._start[kept + 1] - self._start[kept]
+        self.forget()
+        self.numbers([words[k] for k in kept.tolist()])
+        self._start = np.concatenate([self._start, np.cumsum(sizes)])
+        self._ids = ids
+        self._uses = uses[kept] // 2
 
 
 def gather(flat: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:

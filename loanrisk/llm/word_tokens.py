@@ -1,6 +1,7 @@
 """Token ids of whole texts by the word-level BPE vocabulary, each distinct word encoded once.
 
-The `tokenizers` library does all encoding. For plain texts its split can be stated exactly: after
+The `tokenizers` library does all encoding. A Python worker keeps its encoder and the words it has
+met from task to task. For plain texts its split can be stated exactly: after
 lower-casing, runs of letters, single digits, runs of other signs, and the English contractions,
 each encoded by itself. Such texts are cut here and only words that are new to the task go to the
 library. All other texts (characters beyond Latin Extended-A, control characters, `İ`, `ŉ`, or a
@@ -9,6 +10,7 @@ special token's `<|`) go to it whole.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -32,15 +34,15 @@ WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LOWER}]+|[{_NUMBER}]|[^{_SPACE}{_
 
 
 class WordTokens:
-    """Encoder for one task."""
+    """Encoder with an index of words; `worker_tokens` shares one among the tasks of a process."""
 
     def __init__(self, vocabulary: str = VOCABULARY):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(vocabulary)
-        self._dtype = id_type(max(self._library.get_vocab(with_added_tokens=True).values()))
-        self._words = WordIndex(self._encode_words, self._dtype)
+        self.dtype = id_type(max(self._library.get_vocab(with_added_tokens=True).values()))
+        self._words = WordIndex(self._encode_words, self.dtype)
 
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids, sizes = [], []
@@ -48,16 +50,21 @@ class WordTokens:
             found = [e.ids for e in self._library.encode_batch(words[k : k + SLICE], add_special_tokens=False)]
             part = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
             sizes.append(part)
-            ids.append(np.fromiter((i for x in found for i in x), dtype=self._dtype, count=int(part.sum())))
+            ids.append(np.fromiter((i for x in found for i in x), dtype=self.dtype, count=int(part.sum())))
         return np.concatenate(ids), np.concatenate(sizes)
 
     def _waiting(self, text: str | None) -> tuple[bool, np.ndarray]:
         """Whether the text is encoded already, and its ids or else the numbers of its words."""
         if not text:
-            return True, np.empty(0, dtype=self._dtype)
+            return True, np.empty(0, dtype=self.dtype)
         if NOT_PLAIN.search(text):
-            return True, np.array(self._library.encode(text, add_special_tokens=False).ids, dtype=self._dtype)
-        return False, np.concatenate([self._words.numbers(WORD.findall(p.lower())) for p in pieces(text)])
+            return True, np.array(self._library.encode(text, add_special_tokens=False).ids, dtype=self.dtype)
+        return False, np.concatenate([self._words.numbers(self.cut(p)) for p in pieces(text)])
+
+    @staticmethod
+    def cut(text: str) -> list[str]:
+        """The words of a plain text."""
+        return WORD.findall(text.lower())
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text without special tokens; null counts as empty. New words are encoded
@@ -75,9 +82,19 @@ class WordTokens:
         self._words.learn()
         for done, found in held:
             yield found if done else self._words.ids(found)
+        waiting = [found for done, found in held if not done]
+        if waiting:
+            self._words.note(np.concatenate(waiting))
         self._words.trim()
 
     def documents(self, texts: Iterable[str | None], end_id: int = END_ID) -> Iterator[np.ndarray]:
         end = np.array([end_id], dtype=id_type(end_id))
         for ids in self.encode(texts):
             yield np.concatenate([ids, end])
+
+
+@functools.cache
+def worker_tokens(vocabulary: str = VOCABULARY) -> WordTokens:
+    """The encoder of this process: its words, at most `MOST_WORDS`, outlive a task. An encoder
+    must not be used by two iterations at a time, which the one task of a worker does not do."""
+    return WordTokens(vocabulary)
