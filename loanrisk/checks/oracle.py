@@ -272,6 +272,36 @@ CTES["parsed"] = "SELECT * REPLACE ({}) FROM raw".format(
 CTES["parsed_bronze"] = CTES["bronze"].replace("FROM raw", "FROM parsed")
 
 
+def _again(suffix: str, raw: str) -> dict[str, str]:
+    """The same expressions under other names, over other raw records."""
+
+    def renamed(sql: str) -> str:
+        return re.sub(r"\b(FROM|JOIN) (\w+)", lambda m: f"{m[1]} {m[2]}{suffix if m[2] in base else ''}", sql)
+
+    base = dict(CTES)
+    return {f"{name}{suffix}": renamed(sql) for name, sql in base.items() if name != "raw"} | {f"raw{suffix}": raw}
+
+
+# Two loads: half of the records, and all of them with another limit or home for some.
+_LOADS = {
+    "_one": "SELECT * FROM raw WHERE CAST(url AS BIGINT) % 2 = 0",
+    "_two": """SELECT * REPLACE (
+  CASE WHEN CAST(url AS BIGINT) % 4 = 1 THEN tot_hi_cred_lim + 7 ELSE tot_hi_cred_lim END AS tot_hi_cred_lim,
+  CASE WHEN addr_state = 'IL' THEN 'MOVED' ELSE home_ownership END AS home_ownership) FROM raw""",
+}
+for _copies in [_again(suffix, raw) for suffix, raw in _LOADS.items()]:
+    _raw = {name: sql for name, sql in _copies.items() if name.startswith("raw_")}
+    CTES = {"raw": CTES["raw"], **_raw, **CTES, **_copies}
+_CHANGED = " OR ".join(
+    f"a.{name} IS DISTINCT FROM b.{name}"
+    for name in (
+        "emp_title", "home_ownership", "annual_income", "address_state", "address_zipcode", "grade", "sub_grade",
+        "verification_status", "total_high_credit_limit", "application_type", "joint_annual_income",
+        "verification_status_joint",
+    )
+)
+
+
 def _needed(sql: str) -> list[str]:
     """Names of the expressions a query refers to, directly or not, in definition order."""
     found: set[str] = set()
@@ -479,6 +509,15 @@ _SQL = {
     "full_run": "SELECT * FROM scores",
     # The loads of the append run make up all records, so its Gold is that of one load.
     "append_run": "SELECT * FROM scores",
+    "load_history": (
+        f"""SELECT a.* REPLACE (CASE WHEN b.member_id IS NOT NULL AND ({_CHANGED}) THEN DATE '2024-06-01'
+  ELSE a.end_date END AS end_date, b.member_id IS NULL OR NOT ({_CHANGED}) AS is_current)
+FROM customers_one a LEFT JOIN customers_two b ON a.member_id = b.member_id
+UNION ALL SELECT b.* REPLACE (DATE '2024-06-01' AS effective_date)
+FROM customers_two b LEFT JOIN customers_one a ON a.member_id = b.member_id
+WHERE a.member_id IS NULL OR {_CHANGED}"""
+    ),
+    "append_history": "SELECT * FROM scores_two",
     "raw_csv_load": (
         f"SELECT {', '.join(quoted(n) for n in RAW_COLUMNS)}, 'orders' AS _source_file, "
         "'20240101_020000' AS _batch_id FROM parsed_bronze"

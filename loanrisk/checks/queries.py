@@ -220,6 +220,36 @@ def append_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, layout, c.RISK_SCORES).drop("_scored_at")
 
 
+def _edited(raw: DataFrame) -> DataFrame:
+    """A later load: some borrowers with another credit limit, others with another home, which is part
+    of their key."""
+    return raw.withColumns(
+        {
+            "tot_hi_cred_lim": F.expr("CASE WHEN CAST(url AS BIGINT) % 4 = 1 THEN tot_hi_cred_lim + 7 ELSE tot_hi_cred_lim END"),
+            "home_ownership": F.expr("CASE WHEN addr_state = 'IL' THEN 'MOVED' ELSE home_ownership END"),
+        }
+    )
+
+
+def _two_loads(spark: SparkSession, sf_dir: str) -> c.TableLayout:
+    layout = c.TableLayout(path=new_shared_folder(spark, "loanrisk-history"))
+    raw = raw_loans(spark, sf_dir)
+    first = raw.where("CAST(url AS BIGINT) % 2 = 0")
+    full_run.full_run(spark, first, layout, SOURCE, BATCH_TS, LOAD_DATE)
+    full_run.full_run(spark, _edited(raw), layout, SOURCE, BATCH_TS, SECOND_LOAD)
+    return layout
+
+
+def load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All versions of the customers after half of the records and, later, all of them, edited."""
+    return read_table(spark, _two_loads(spark, sf_dir), c.DIM_CUSTOMERS).drop("_transformed_at")
+
+
+def append_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after the two loads: it scores the current versions only."""
+    return read_table(spark, _two_loads(spark, sf_dir), c.RISK_SCORES).drop("_scored_at")
+
+
 def raw_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze from CSV: the records of the whole table written as text, scanned and loaded. An empty
     text and a null are the same to the scan, which makes both null."""
@@ -262,7 +292,7 @@ QUERIES: dict[str, Query] = {
     "scd2_merge": scd2_merge,
     # scalar transforms
     "emp_length_imputed": _on_bronze(
-        lambda b: silver.with_employment_years(silver.latest_customers(b)), "member_id", "emp_length"
+        lambda b: silver.customer_attributes(b), "member_id", "emp_length"
     ),
     "emp_category": _on_bronze(
         lambda b: silver.with_job_category(b), "url", "emp_title", "emp_category"
@@ -373,6 +403,8 @@ QUERIES: dict[str, Query] = {
     "dim_loan_defaulters": _defaulters,
     "full_run": stored_full_run,
     "append_run": append_run,
+    "load_history": load_history,
+    "append_history": append_history,
     # later loads and summaries
     "incremental_append": incremental_append,
     "vintage_summary": lambda s, d: reports.vintage_summary(*_loans_and_scores(s, d)),

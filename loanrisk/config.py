@@ -60,6 +60,20 @@ class QualityLimits:
     )
 
 
+@dataclass(frozen=True)
+class LoadGates:
+    """What a load must keep to before Silver is built from it (see `operators.profile`).
+
+    `null_fractions` bounds the share of nulls per raw column, `range_fraction` the share of values
+    outside their `QualityLimits.ranges`, `row_change` how far the row count may be from the last
+    load's, as a share of that. None switches a gate off.
+    """
+
+    null_fractions: dict[str, float] = field(default_factory=dict)
+    range_fraction: float | None = None
+    row_change: float | None = None
+
+
 @dataclass(frozen=True)
 class SkewConfig:
     """How joins treat keys that hold many rows (see `operators.skew`).
@@ -104,7 +118,7 @@ class TableLayout:
         return [f"{prefix}{layer}" for layer in (self.bronze, self.silver, self.gold)]
 
     def locate(self, table: str) -> str:
-        layer = getattr(self, TABLE_LAYER[table])
+        layer = getattr(self, (TABLE_LAYER | SIDE_TABLES)[table])
         if self.path is not None:
             return f"{self.path.rstrip('/')}/{layer}/{table}"
         return f"{self.catalog}.{layer}.{table}" if self.catalog else f"{layer}.{table}"
@@ -127,6 +141,11 @@ TABLE_LAYER = {
     RISK_SCORES: "gold",
 }
 
+# Tables about the loads, which hold no loans.
+REJECTED_LINES = "rejected_raw_lines"
+LOAD_PROFILES = "load_profiles"
+SIDE_TABLES = {REJECTED_LINES: "bronze", LOAD_PROFILES: "bronze"}
+
 # Key column of each table that has one.
 TABLE_KEY = {
     DIM_CUSTOMERS: "member_id",

@@ -1,22 +1,30 @@
-"""The full run: Bronze, the four Silver tables and Gold, each written once and read back."""
+"""The full run: Bronze, the four Silver tables and Gold, each written once and read back.
+
+The raw text is parsed once. A load that keeps its corrupt lines is landed first, by kind of record;
+any other is counted while Bronze, or the batch of an append, is written from it.
+"""
 
 from __future__ import annotations
 
+import threading
 import time
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loanrisk import config as c
 from loanrisk.operators.append import new_rows
-from loanrisk.operators.quality import critical_nulls, key_report, require_filled, row_counts
+from loanrisk.operators.profile import PROFILE, load_profile, require_gates
+from loanrisk.operators.quality import critical_nulls, key_report, observe_rows, require_filled, row_counts
 from loanrisk.plans import bronze, gold, silver
-from loanrisk.sources.shared_folder import new_shared_folder
+from loanrisk.sources.raw_files import CORRUPT, add_audit_columns
+from loanrisk.sources.shared_folder import new_shared_folder, staged
 from loanrisk.sources.tables import create_schemas, read_table, table_exists, write_table
 
 
@@ -25,7 +33,8 @@ class RunReport:
     """Seconds per stage and rows per table.
 
     Rows of tables are counted in the written tables (for an append, those that came in). `raw` and
-    `garbage` are counted while the raw records are read, in a job of their own.
+    `garbage` are counts of the raw records: those read, and those that are no loans; a load that
+    keeps corrupt lines also has `rejected`, those put aside because their line does not fit.
     """
 
     seconds: dict[str, float] = field(default_factory=dict)
@@ -51,6 +60,68 @@ def check_silver(tables: dict[str, DataFrame]) -> None:
     require_filled(key_report({name: (df, c.TABLE_KEY[name]) for name, df in tables.items()}))
 
 
+#: How long to wait for counts that Spark reports after a job; then they are counted by another one.
+COUNTS_WITHIN = 60.0
+
+
+def _observed(observation: Observation, seconds: float = COUNTS_WITHIN) -> dict | None:
+    """What an observation has seen, or None if Spark does not tell in time: it tells nothing of a
+    plan from which the observed node was optimised away, and `get` would wait for ever."""
+    found: list[dict] = []
+    waiting = threading.Thread(target=lambda: found.append(observation.get), daemon=True)
+    waiting.start()
+    waiting.join(seconds)
+    return found[0] if found else None
+
+
+def _counted(raw: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The raw records, and their counts once a job has written them.
+
+    The job must have no shuffle behind the records: a result task counts once, however often it is
+    tried, while a lost map output would be counted again.
+    """
+    loans = F.count_if(bronze.is_loan())
+    observation = Observation(f"raw-{uuid.uuid4().hex}")
+
+    def counts() -> dict[str, int]:
+        seen = _observed(observation)
+        if seen is None:
+            seen = raw.agg(F.count(F.lit(1)).alias("row_count"), loans.alias("loans")).first().asDict()
+        return {"raw": seen["row_count"], "garbage": seen["row_count"] - seen["loans"]}
+
+    return observe_rows(raw, observation, loans=loans), counts
+
+
+def _landed(raw: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """The readable records, the rejected ones, and counts: parsed once, written by kind."""
+    kind = F.when(F.col(CORRUPT).isNotNull(), "rejected").when(bronze.is_loan(), "loan").otherwise("garbage")
+    path = new_shared_folder(raw.sparkSession, "raw-records")
+    raw.withColumn("_kind", kind).write.partitionBy("_kind").parquet(path)
+    schema = raw.schema.add("_kind", "string")
+    rows = raw.sparkSession.read.schema(schema).parquet(path)
+    per_kind = {row["_kind"]: row["count"] for row in rows.groupBy("_kind").count().collect()}  # three at most
+    counts = {name: per_kind.get(name, 0) for name in ("garbage", "rejected")}
+    rejected = rows.where("_kind = 'rejected'").select(CORRUPT)
+    return rows.where("_kind <> 'rejected'").drop("_kind", CORRUPT), rejected, counts | {"raw": sum(per_kind.values())}
+
+
+def _check_gates(
+    spark: SparkSession, layout: c.TableLayout, load: DataFrame, limits: c.QualityLimits, gates: c.LoadGates
+) -> None:
+    """Profile the load, compare it with the last one that passed, and store the profile if it passes."""
+    columns = list(dict.fromkeys([*gates.null_fractions, *limits.ranges]))
+    lines = load_profile(load, columns, limits).collect()  # one per column
+    last, number = None, 0
+    if table_exists(spark, layout, c.LOAD_PROFILES):
+        before = read_table(spark, layout, c.LOAD_PROFILES)
+        newest = before.agg(F.max(F.struct("load_number", "row_count")).alias("last")).first()["last"]
+        if newest is not None:
+            number, last = newest
+    require_gates(lines, last, gates)
+    profile = spark.createDataFrame(lines, PROFILE).withColumn("load_number", F.lit(number + 1).cast("long"))
+    write_table(profile, layout, c.LOAD_PROFILES, mode="append")
+
+
 def full_run(
     spark: SparkSession,
     raw: DataFrame,
@@ -65,57 +136,74 @@ def full_run(
     append: bool = False,
     validate: bool = True,
     loan_partitions: Sequence[str] = (),
+    gates: c.LoadGates | None = None,
 ) -> RunReport:
     """Build every table from raw records.
 
     By default the records replace Bronze. With `append`, Bronze keeps what it holds and gains the
-    records whose id it does not have yet (see `operators.append`); Silver and Gold are rebuilt.
+    records whose id it does not have yet (see `operators.append`); Silver and Gold are rebuilt. In
+    either case a customer dimension that is stored already keeps its versions and gains those of this
+    load (see `silver.dim_customers_after`); Gold scores current versions only.
 
     Each stage reads the stored result of the one before, so a lost executor costs a recomputation
     from stored files, never from the raw text: also the records of an append are written to the
-    shared folder before they are compared. With `validate`, Bronze is checked before Silver is
-    built and Silver before Gold; a failed check raises `QualityError` and leaves the later tables
-    as they were. With `fact_buckets` (catalog layouts) both facts and Gold are bucketed by loan,
-    and their joins need no exchange; `loan_partitions`, such as `issue_year`, are the folders of
-    `fact_loans`.
+    shared folder before they are compared. Tables are swapped in whole (see `sources.tables`). With
+    `validate`, Bronze is checked before Silver is built and Silver before Gold; a failed check raises
+    `QualityError` and leaves the later tables as they were, and so does a load that fails its
+    `gates`, which are compared with the last load that passed. Records whose line does not fit
+    the schema (`read_raw_csv(keep_lines=True)`) go to `rejected_raw_lines` and nowhere else. With
+    `fact_buckets` (catalog layouts) both facts and Gold are bucketed by loan, and their joins need no
+    exchange; `loan_partitions`, such as `issue_year`, are the folders of `fact_loans`.
     """
     report = RunReport()
     create_schemas(spark, layout)
 
     start = time.monotonic()
-    counted = raw.agg(F.count(F.lit(1)).alias("raw"), F.count_if(bronze.is_loan()).alias("loans")).first()
-    report.rows |= {"raw": counted["raw"], "garbage": counted["raw"] - counted["loans"]}
-    arriving = bronze.to_bronze(raw, source_file, batch_ts)
+    if CORRUPT in raw.columns:
+        records, rejected, found = _landed(raw)
+        rejected = add_audit_columns(rejected, source_file, batch_ts)
+        write_table(rejected, layout, c.REJECTED_LINES, mode="append" if append else "overwrite")
+        counts = lambda: found
+    else:
+        records, counts = _counted(raw)
+    arriving = bronze.to_bronze(records, source_file, batch_ts)
     before = 0
     if append:
-        landed = new_shared_folder(spark, "loan-batch")
-        arriving.write.parquet(landed)
-        arriving = spark.read.schema(arriving.schema).parquet(landed)
+        arriving = load = staged(arriving, "loan-batch")
         if table_exists(spark, layout, c.RAW_LOANS):
             held = read_table(spark, layout, c.RAW_LOANS)
             before = held.count()
             arriving = new_rows(held, arriving, config=skew)
     write_table(arriving, layout, c.RAW_LOANS, mode="append" if append else "overwrite")
+    report.rows |= counts()
     stored = read_table(spark, layout, c.RAW_LOANS)
     _count(report, {c.RAW_LOANS: stored})
     report.rows[c.RAW_LOANS] -= before
     if validate:
         check_bronze(stored)
+    if gates:
+        _check_gates(spark, layout, load if append else stored, limits, gates)
     report.seconds["bronze"] = time.monotonic() - start
 
     start = time.monotonic()
     buckets = {"bucket_by": (fact_buckets, "loan_id")} if fact_buckets else {}
     by_year = {"partition_by": loan_partitions} if loan_partitions else {}
+
+    def customers() -> DataFrame:
+        if not table_exists(spark, layout, c.DIM_CUSTOMERS):
+            return silver.dim_customers(stored, load_date, limits)
+        return silver.dim_customers_after(read_table(spark, layout, c.DIM_CUSTOMERS), stored, load_date, limits)
+
     silver_tables = [
-        (c.DIM_CUSTOMERS, silver.dim_customers(stored, load_date, limits), {}),
-        (c.FACT_LOANS, silver.fact_loans(stored), buckets | by_year),
-        (c.FACT_REPAYMENTS, silver.fact_repayments(stored), buckets),
-        (c.DIM_DEFAULTERS, silver.dim_defaulters(stored), {}),
+        (c.DIM_CUSTOMERS, customers, {}),
+        (c.FACT_LOANS, lambda: silver.fact_loans(stored), buckets | by_year),
+        (c.FACT_REPAYMENTS, lambda: silver.fact_repayments(stored), buckets),
+        (c.DIM_DEFAULTERS, lambda: silver.dim_defaulters(stored), {}),
     ]
     # The four tables do not depend on each other, so their jobs share the cluster.
-    write = inheritable_thread_target(spark)(write_table)
+    write = inheritable_thread_target(spark)(lambda table, made, how: write_table(made(), layout, table, **how))
     with ThreadPoolExecutor(len(silver_tables)) as pool:
-        written = [pool.submit(write, df, layout, table, **how) for table, df, how in silver_tables]
+        written = [pool.submit(write, table, made, how) for table, made, how in silver_tables]
     for job in written:
         job.result()
     tables = {table: read_table(spark, layout, table) for table, _, _ in silver_tables}

@@ -30,8 +30,9 @@ from loanrisk.functions.text import (
     state_region,
     valid_state,
 )
-from loanrisk.operators.history import scd2_initial
+from loanrisk.operators.history import scd2_initial, scd2_merge
 from loanrisk.operators.keys import dedup_by_key
+from loanrisk.sources.shared_folder import staged
 
 TIE_BREAKERS = ("url", "id")
 DEFAULT_EMPLOYMENT_YEARS = 5
@@ -56,6 +57,8 @@ CUSTOMER_COLUMNS = {
     "joint_annual_income": "annual_inc_joint",
     "verification_status_joint": "verification_status_joint",
 }
+#: A change in any of these is a new version of a member.
+TRACKED_ATTRIBUTES = tuple(c for c in CUSTOMER_COLUMNS if c not in ("member_id", "emp_length", "address_country"))
 LOAN_COLUMNS = {
     "loan_id": "id",
     "member_id": "member_id",
@@ -144,19 +147,14 @@ def latest_customers(bronze: DataFrame, tie_breakers: Sequence[str] = TIE_BREAKE
     return _latest(known_income, customer_columns(), "member_id", "annual_income", tie_breakers)
 
 
-def with_employment_years(customers: DataFrame, members: DataFrame | None = None) -> DataFrame:
+def with_employment_years(customers: DataFrame) -> DataFrame:
     """`emp_length` as whole years; unreadable values get the rounded mean of the readable ones.
 
-    The mean is a scalar subquery: it is computed on the executors, in the same query. The length
-    is part of the member key, so all records of a member agree on it; with `members`, the records
-    the customers come from, the mean needs their key and length alone, one group per member.
+    The mean is a scalar subquery: it is computed on the executors, in the same query. It reads the
+    customers a second time, so these should be stored rows (see `dim_customers`).
     """
     years = customers.withColumn("emp_length", first_number("emp_length"))
-    known = years
-    if members is not None:
-        per_member = members.where("member_id is not null").groupBy("member_id")
-        known = per_member.agg(first_number(F.max("emp_length")).alias("emp_length"))
-    mean = known.agg(F.bround(F.avg("emp_length"), 0).cast("int")).scalar()
+    mean = years.agg(F.bround(F.avg("emp_length"), 0).cast("int")).scalar()
     # A mean of zero counts as no mean.
     usual = F.coalesce(F.nullif(mean, F.lit(0)), F.lit(DEFAULT_EMPLOYMENT_YEARS))
     return years.withColumn("emp_length", F.coalesce("emp_length", usual))
@@ -191,24 +189,58 @@ def with_customer_features(customers: DataFrame) -> DataFrame:
     )
 
 
-def dim_customers(
+def customer_attributes(
     bronze: DataFrame,
-    load_date: date | None = None,
     limits: QualityLimits = QualityLimits(),
     tie_breakers: Sequence[str] = TIE_BREAKERS,
 ) -> DataFrame:
+    """One row per member, without version columns.
+
+    The deduplicated rows are written to the shared folder once: the mean employment length needs
+    them all before any of them can be completed, and reads one column of what was written.
+    """
     return (
-        latest_customers(bronze, tie_breakers)
-        .transform(with_employment_years, bronze.where(F.col("annual_inc").isNotNull()))
+        staged(latest_customers(bronze, tie_breakers), "latest-customers")
+        .transform(with_employment_years)
         .transform(with_job_category)
         .transform(with_clean_state)
         .transform(with_capped_income, limits)
         .transform(with_customer_features)
-        .transform(scd2_initial, load_date)
-        .transform(_stamped)
     )
 
 
+def dim_customers(
+    bronze: DataFrame,
+    load_date: date | None = None,
+    limits: QualityLimits = QualityLimits(),
+    tie_breakers: Sequence[str] = TIE_BREAKERS,
+) -> DataFrame:
+    """The members' first versions."""
+    return customer_attributes(bronze, limits, tie_breakers).transform(scd2_initial, load_date).transform(_stamped)
+
+
+def dim_customers_after(
+    stored: DataFrame,
+    bronze: DataFrame,
+    load_date: date | None = None,
+    limits: QualityLimits = QualityLimits(),
+    tie_breakers: Sequence[str] = TIE_BREAKERS,
+    tracked: Sequence[str] = TRACKED_ATTRIBUTES,
+) -> DataFrame:
+    """The stored dimension after a later load, given all of Bronze (see `history.scd2_merge`).
+
+    Members that Bronze holds unchanged keep their version, date and time stamp; a change in a
+    tracked attribute closes the version and opens one; closed versions stay, and so do members that
+    Bronze no longer holds. The current versions of Bronze's members have the tracked attributes that
+    `dim_customers` would give them. The member key holds most attributes, so a borrower who changes
+    one of those is a new member; `emp_length` is not tracked because a missing one is the mean over
+    all members, which any load may move.
+    """
+    columns = stored.columns
+    incoming = customer_attributes(bronze, limits, tie_breakers).transform(_stamped)
+    return scd2_merge(stored, incoming, "member_id", tracked, load_date).select(*columns)
+
+
 # ---- loans -------------------------------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def new_shared_folder(spark: SparkSession, purpose: str) -> str:
@@ -20,3 +20,11 @@ def new_shared_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back, so that what reads it several times does
+    not derive it several times."""
+    path = new_shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

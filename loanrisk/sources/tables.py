@@ -1,12 +1,20 @@
-"""Stored tables: creating schemas, writing and reading."""
+"""Stored tables: creating schemas, writing and reading.
+
+An overwrite never touches the stored table while it runs: rows are written beside it and swapped in
+by renaming, so a job may read the table it replaces, and a failed one leaves it as it was. A job that
+dies between the two renames leaves the old rows under their backup name, from which the next read or
+write brings them back. (Delta replaces tables by itself.)
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from loanrisk.config import TableLayout
+from loanrisk.sources import files
 
 
 def create_schemas(spark: SparkSession, layout: TableLayout) -> None:
@@ -45,13 +53,75 @@ def write_table(
             raise ValueError("bucketed tables need a catalog layout")
         buckets, column = bucket_by
         writer = writer.bucketBy(buckets, column).sortBy(column)
-    if layout.path is None:
-        writer.saveAsTable(layout.locate(table))
+    place = layout.locate(table)
+    restore_table(df.sparkSession, layout, table)
+    if mode == "overwrite" and layout.fmt != "delta":
+        _replace(df.sparkSession, writer, layout, place)
+    elif layout.path is None:
+        writer.saveAsTable(place)
+    else:
+        writer.save(place)
+
+
+def _backup(place: str, path_layout: bool) -> str:
+    """Where the old rows are between the renames. A leading underscore hides a folder from scans."""
+    if not path_layout:
+        return f"{place}__old"
+    parent, _, name = place.rpartition("/")
+    return f"{parent}/_{name}.old"
+
+
+def _replace(spark: SparkSession, writer, layout: TableLayout, place: str) -> None:
+    unique = uuid.uuid4().hex
+    by_path = layout.path is not None
+    new = f"{place.rpartition('/')[0]}/_{place.rpartition('/')[2]}.{unique}" if by_path else f"{place}__{unique}"
+    try:
+        writer.save(new) if by_path else writer.saveAsTable(new)
+        swap(spark, layout, new, place)
+    except Exception:
+        _drop(spark, new, by_path)
+        raise
+
+
+def _drop(spark: SparkSession, place: str, by_path: bool) -> None:
+    if by_path:
+        files.delete(spark, place)
     else:
-        writer.save(layout.locate(table))
+        spark.sql(f"DROP TABLE IF EXISTS {place}")
+
+
+def _move(spark: SparkSession, place: str, to: str, by_path: bool) -> None:
+    if by_path:
+        files.move(spark, place, to)
+    else:
+        spark.sql(f"ALTER TABLE {place} RENAME TO {to}")
+
+
+def _there(spark: SparkSession, place: str, by_path: bool) -> bool:
+    return files.exists(spark, place) if by_path else spark.catalog.tableExists(place)
+
+
+def swap(spark: SparkSession, layout: TableLayout, new: str, place: str) -> None:
+    """Put the written rows at `new` in the place of a table."""
+    by_path = layout.path is not None
+    backup = _backup(place, by_path)
+    if _there(spark, place, by_path):
+        _drop(spark, backup, by_path)  # of an earlier swap that did not get to the end
+        _move(spark, place, backup, by_path)
+    _move(spark, new, place, by_path)
+    _drop(spark, backup, by_path)
+
+
+def restore_table(spark: SparkSession, layout: TableLayout, table: str) -> None:
+    """Bring a table back that a swap has moved away and not replaced."""
+    by_path, place = layout.path is not None, layout.locate(table)
+    backup = _backup(place, by_path)
+    if not _there(spark, place, by_path) and _there(spark, backup, by_path):
+        _move(spark, backup, place, by_path)
 
 
 def read_table(spark: SparkSession, layout: TableLayout, table: str) -> DataFrame:
+    restore_table(spark, layout, table)
     if layout.path is None:
         return spark.table(layout.locate(table))
     return spark.read.format(layout.fmt).load(layout.locate(table))
@@ -59,10 +129,8 @@ def read_table(spark: SparkSession, layout: TableLayout, table: str) -> DataFram
 
 def table_exists(spark: SparkSession, layout: TableLayout, table: str) -> bool:
     """Whether the table has been written; any failure to find out is raised."""
-    if layout.path is None:
-        return spark.catalog.tableExists(layout.locate(table))
-    path = spark._jvm.org.apache.hadoop.fs.Path(layout.locate(table))
-    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+    restore_table(spark, layout, table)
+    return _there(spark, layout.locate(table), layout.path is not None)
 
 
 def preview(df: DataFrame, *order_by: str, rows: int = 20) -> DataFrame:

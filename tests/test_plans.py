@@ -276,11 +276,10 @@ def test_an_append_parses_the_batch_for_counting_and_for_landing_only(spark, tmp
     assert len(seen) == 1 and "FileScan csv" not in physical(new_rows(seen[0], seen[0]))
 
 
-def test_mean_employment_reads_key_and_length_only(stored):
+def test_mean_employment_reads_the_length_alone(stored):
     held = stored[2][c.RAW_LOANS]
     plan = physical(silver.dim_customers(held))
-    narrow = [s for s in re.findall(r"ReadSchema: struct<([^>]*)>", plan) if "emp_length" in s and "emp_title" not in s]
-    assert narrow and all({f.split(":")[0] for f in s.split(",")} <= {"member_id", "emp_length", "annual_inc"} for s in narrow)
+    assert "ReadSchema: struct<emp_length:string>" in plan
 
 
 def test_append_run_adds_only_new_loans(spark, tmp_path):
