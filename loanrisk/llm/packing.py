@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanrisk.llm.common import only, stored
-from loanrisk.llm.word_tokens import END_ID, VOCABULARY, WordTokens
+from loanrisk.llm.word_tokens import END_ID, VOCABULARY, worker_tokens
 
 CAPACITY = 4096
 
@@ -44,7 +44,7 @@ def token_pieces(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(vocabulary)
+        tokens = worker_tokens(vocabulary)
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             doc, piece, start, ids = zip(*rows)
@@ -53,8 +53,11 @@ def token_pieces(
                     pa.array(doc, pa.int64()),
                     pa.array(piece, pa.int32()),
                     pa.array(start, pa.int64()),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
+                    pa.array(sizes := np.array([len(x) for x in ids], dtype=np.int64)),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)),
+                        pa.array(np.concatenate(ids).astype(np.int32)),
+                    ),
                 ],
                 names=["doc_id", "piece", "start", "length", "ids"],
             )

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanrisk.llm.common import only, partitions_for, stored
-from loanrisk.llm.word_tokens import END_ID, VOCABULARY, WordTokens
+from loanrisk.llm.word_tokens import END_ID, VOCABULARY, worker_tokens
 from loanrisk.sources.shared_folder import new_shared_folder
 
 MAGIC = b"PFORTOK1"
@@ -172,7 +172,7 @@ def write_token_files(
     target.create_dir(path, recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, writer = WordTokens(vocabulary), None
+        tokens, writer = worker_tokens(vocabulary), None
         number = TaskContext.get().partitionId()
         uri = f"{folder}/tokens-{number:06d}-{uuid.uuid4().hex}.pfor"
         for batch in batches:
