@@ -1,21 +1,15 @@
 """Byte-level BPE encoding and decoding, with the merges replayed over a whole vocabulary of words.
 
-Method: the distinct words (matches of the split pattern) of a task's texts form one corpus. An
-inverted index leads from the rank of a pair of neighbours to the places where the pair stands.
-Ranks are taken in rising order; a merge is applied at all its places at once and only the two
-neighbours of each place are looked at again. A word is merged once per task, however often it
-occurs, and texts are put together from the words' ids, so nothing is shuffled.
-
-Words are independent of each other, so the order of places across words does not matter; within a
-word places go from left to right. If a merge makes a pair of lower rank than itself, the rest of
-its word could be merged in another order than the lowest-rank-first rule asks for; such words are
-merged again by that rule alone.
+Method: the distinct words (matches of the split pattern) of a task's texts form one corpus, over
+which the merges are replayed in rank order (see `merges`). A Python worker keeps the words it has
+merged, so a word is seldom merged twice, however often it occurs; texts are put together from the
+words' ids, so nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,19 +20,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanrisk.llm.common import only
+from loanrisk.llm.merges import Merges
 from loanrisk.llm.word_index import WordIndex, gather, id_type, pieces
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 CHARS = 16_000_000
 IDS = 500_000
-NEVER = np.int32(2**31 - 1)
-#: Places of so many ranks are indexed at a time; later ranks only have their places' ranks noted.
-RANKS = 1024
 
 
 class ByteBpe:
-    """Encoder and decoder for one task."""
+    """Encoder and decoder with an index of words; `worker_bpe` shares one among a process's tasks."""
 
     def __init__(self, vocabulary: str = VOCABULARY, pattern: str = PATTERN):
         ranks: dict[bytes, int] = {}
@@ -55,14 +47,13 @@ class ByteBpe:
         self._starts = np.cumsum(self._lengths) - self._lengths
         self._bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
         # Every pair of tokens that makes a token, whichever way the token is cut.
-        made = sorted(
+        made = [
             (left << 32 | right, rank)
             for token, rank in ranks.items()
             for k in range(1, len(token))
             if (left := ranks.get(token[:k], -1)) >= 0 and (right := ranks.get(token[k:], -1)) >= 0
-        )
-        self._pairs = np.array([p for p, _ in made], dtype=np.int64)
-        self._pair_ranks = np.array([r for _, r in made], dtype=np.int32)
+        ]
+        self._merges = Merges(np.array([p for p, _ in made], dtype=np.int64), np.array([r for _, r in made]))
         self._find = regex.compile(pattern).findall
         self._dtype = id_type(len(tokens) - 1)
         self.words = WordIndex(self._encode_words, self._dtype)
@@ -94,105 +85,16 @@ class ByteBpe:
         ids[single], ids[~single] = whole[whole >= 0], flat
         return ids, sizes
 
-    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The ranks of the tokens that neighbours make; `NEVER` where they make none."""
-        code = left.astype(np.int64) << 32 | right
-        at = np.minimum(np.searchsorted(self._pairs, code), len(self._pairs) - 1)
-        return np.where(self._pairs[at] == code, self._pair_ranks[at], NEVER)
-
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of non-empty words in a row and their number per word, by replaying the merges."""
-        sizes = np.array([len(w) for w in words])
-        ends = np.cumsum(sizes)
-        ids = self._byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
-        n = len(ids)
-        after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
-        after[ends - 1] = -1
-        before[ends - sizes] = -1
-        ranks = np.full(n, NEVER)  # of the pair that begins at a place
-        left = np.flatnonzero(after >= 0)
-        ranks[left] = self._rank(ids[left], ids[left + 1])
-        doubtful: list[int] = []
-        for low in range(0, len(self._lengths), RANKS):
-            self._replay(low + RANKS, ids, after, before, ranks, doubtful)
-
-        redo = np.unique(np.searchsorted(ends, np.array(doubtful, dtype=np.int64), side="right"))
-        alive = ids >= 0
-        counts = np.add.reduceat(alive, ends - sizes, dtype=np.int64)
-        if not len(redo):
-            return ids[alive], counts
-        parts = np.split(ids[alive], np.cumsum(counts)[:-1])
-        for k in redo.tolist():
-            parts[k] = self._lowest_first(words[k])
-            counts[k] = len(parts[k])
-        return np.concatenate(parts), counts
-
-    def _replay(self, end: int, ids, after, before, ranks, doubtful: list[int]) -> None:
-        """All merges of a rank below `end`."""
-        places = np.flatnonzero(ranks < end)
-        places = places[np.argsort(ranks[places], kind="stable")]
-        present, first = np.unique(ranks[places], return_index=True)
-        index: dict[int, np.ndarray | list[int]] = dict(zip(present.tolist(), np.split(places, first[1:])))
-        queue = present.tolist()
-        while queue:
-            rank = heapq.heappop(queue)
-            p = index.pop(rank)
-            if isinstance(p, list):
-                p = np.unique(np.array(p, dtype=np.int64))
-            p = p[ranks[p] == rank]
-            if not len(p):
-                continue
-            q = after[p]
-            if len(p) > 1 and (p[1:] == q[:-1]).any():
-                p = p[_leftmost(p.tolist(), q.tolist())]
-                q = after[p]
-            r = after[q]
-            ids[p], ids[q] = rank, -1
-            ranks[p], ranks[q] = NEVER, NEVER
-            after[p] = r
-            followed = r >= 0
-            before[r[followed]] = p[followed]
-            # The two pairs that each merge has made.
-            lead = before[p]
-            touched = np.concatenate([p[followed], lead[lead >= 0]])
-            if not len(touched):
-                continue
-            new = self._rank(ids[touched], ids[after[touched]])
-            ranks[touched] = new
-            soon = new < end
-            if soon.any():
-                for place, r in zip(touched[soon].tolist(), new[soon].tolist()):
-                    if r <= rank:
-                        doubtful.append(place)
-                    known = index.get(r)
-                    if known is None:
-                        index[r] = [place]
-                        heapq.heappush(queue, r)
-                    elif isinstance(known, list):
-                        known.append(place)
-                    else:
-                        index[r] = [*known.tolist(), place]
-
-    def _lowest_first(self, word: bytes) -> np.ndarray:
-        """One word by the rule itself: merge the leftmost pair of lowest rank until none is left."""
-        ids = self._byte_ids[np.frombuffer(word, dtype=np.uint8)]
-        while len(ids) > 1:
-            ranks = self._rank(ids[:-1], ids[1:])
-            at = int(ranks.argmin())
-            if ranks[at] == NEVER:
-                break
-            ids = np.concatenate([ids[:at], ranks[at : at + 1], ids[at + 2 :]])
-        return ids
-
-
-def _leftmost(p: list[int], q: list[int]) -> list[int]:
-    """Of places in order, those that do not begin with what the one before has taken."""
-    kept, taken = [], -1
-    for k, (begin, end) in enumerate(zip(p, q)):
-        if begin != taken:
-            kept.append(k)
-            taken = end
-    return kept
+        first = self._byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
+        return self._merges.merge(first, np.array([len(w) for w in words]))
+
+
+@functools.cache
+def worker_bpe(vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> ByteBpe:
+    """The encoder of this process; its words, a bounded number, outlive a task."""
+    return ByteBpe(vocabulary, pattern)
 
 
 def encode_documents(
@@ -211,7 +113,7 @@ def encode_documents(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(vocabulary, pattern)
+        bpe = worker_bpe(vocabulary, pattern)
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             doc, ids = zip(*rows)
@@ -226,6 +128,8 @@ def encode_documents(
 
         def encoded(waiting: list[tuple]) -> Iterator[pa.RecordBatch]:
             bpe.words.learn()
+            if waiting:
+                bpe.words.note(np.concatenate([numbers for _, numbers in waiting]))
             rows, size = [], 0
             for doc_id, numbers in waiting:
                 ids = bpe.words.ids(numbers)

@@ -1,8 +1,8 @@
 """Token ids of whole texts by the byte-level BPE vocabulary, each distinct word encoded once.
 
-The `tokenizers` library does all encoding. The vocabulary's split pattern is restated for plain
-texts (see `word_tokens.NOT_PLAIN`); other texts, and those with a special token's `<|`, go to the
-library whole.
+The ids are those of the `tokenizers` library. The vocabulary's split pattern is restated for plain
+texts (see `word_tokens.NOT_PLAIN`), whose words are merged as in `word_tokens`; other texts, and those
+with a special token's `<|`, go to the library whole.
 """
 
 from __future__ import annotations

@@ -44,7 +44,7 @@ class WordIndex:
         if new:
             ids, sizes = self._encode(new)
             self._start = np.concatenate([self._start, self._start[-1] + np.cumsum(sizes)])
-            self._ids = np.concatenate([self._ids, ids])
+            self._ids = np.concatenate([self._ids, ids.astype(self._dtype)])
 
     def ids(self, numbers: np.ndarray) -> np.ndarray:
         """The ids of all words in a row."""

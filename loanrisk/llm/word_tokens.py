@@ -1,11 +1,11 @@
 """Token ids of whole texts by the word-level BPE vocabulary, each distinct word encoded once.
 
-The `tokenizers` library does all encoding. A Python worker keeps its encoder and the words it has
-met from task to task. For plain texts its split can be stated exactly: after
+The ids are those of the `tokenizers` library. For plain texts its split can be stated exactly: after
 lower-casing, runs of letters, single digits, runs of other signs, and the English contractions,
-each encoded by itself. Such texts are cut here and only words that are new to the task go to the
-library. All other texts (characters beyond Latin Extended-A, control characters, `İ`, `ŉ`, or a
-special token's `<|`) go to it whole.
+each encoded by itself. Such texts are cut here, and the words that are new to the process are merged
+together (see `merges`), by the library where they are very long or the vocabulary has other rules.
+All other texts (characters beyond Latin Extended-A, control characters, `İ`, `ŉ`, or a special
+token's `<|`) go to the library whole. A Python worker keeps its words from task to task.
 """
 
 from __future__ import annotations
@@ -18,12 +18,15 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import public_tokenizers
 
+from loanrisk.llm.merges import FileMerges
 from loanrisk.llm.word_index import WordIndex, id_type, pieces
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
-CHARS = 4_000_000
+CHARS = 16_000_000
 SLICE = 4_000
+#: Longer words are left to the library, which merges one word without looking at it whole each time.
+LONG = 500
 
 # The characters of plain texts, and what they are to the vocabulary's pattern.
 _LOWER = "a-zªµºß-öø-ÿĀ-ňŊ-ſ"
@@ -42,9 +45,27 @@ class WordTokens:
 
         self._library = Tokenizer.from_file(vocabulary)
         self.dtype = id_type(max(self._library.get_vocab(with_added_tokens=True).values()))
+        self._merges = FileMerges.usable(vocabulary)
         self._words = WordIndex(self._encode_words, self.dtype)
 
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if not self._merges:
+            return self._by_library(words)
+        long = np.fromiter((len(w) > LONG for w in words), dtype=bool, count=len(words))
+        if not long.any():
+            return self._merges.encode(words)
+        sizes = np.empty(len(words), dtype=np.int64)
+        found = []
+        for of, encode in ((~long, self._merges.encode), (long, self._by_library)):
+            some = [words[k] for k in np.flatnonzero(of).tolist()]
+            ids, sizes[of] = encode(some) if some else (np.empty(0, dtype=self.dtype), 0)
+            found.append(ids)
+        whole = np.empty(int(sizes.sum()), dtype=self.dtype)
+        from_library = np.repeat(long, sizes)
+        whole[~from_library], whole[from_library] = found
+        return whole, sizes
+
+    def _by_library(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids, sizes = [], []
         for k in range(0, len(words), SLICE):  # the library's results are large objects
             found = [e.ids for e in self._library.encode_batch(words[k : k + SLICE], add_special_tokens=False)]
