@@ -8,12 +8,15 @@ value. The join of parts and scopes is a sweep over the parts of a text in order
 forwards and once backwards, that carries the nearest part of each role.
 
 Built-in functions only. Positions come from the pieces between matches (`split`) and the matches
-(`regexp_extract_all`): their lengths, summed up, are the code points before each match. Texts are
-only taken apart where a cheap test finds the pattern at all; there is no shuffle.
+(`regexp_extract_all`): their lengths, summed up, are the code points before each match. Sums and
+sweeps run over chunks of pieces, so a text with very many matches costs in proportion to them. Texts
+are only taken apart where a cheap test finds the pattern at all; there is no shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,26 +44,66 @@ SPAN = "struct<start:int,rank:int,end:int>"
 FAR = -(2**30)
 
 
+#: Elements that are put together one by one; longer arrays are chunks of chunks.
+CHUNK, LEVELS = 64, 2
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often `body` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _scan(
+    items: Column,
+    state: Column,
+    advance: Callable[[Column, Column], Column],
+    emit: Callable[[Column, Column], Column],
+    state_kind: str,
+    kind: str,
+    levels: int = LEVELS,
+) -> Column:
+    """What `emit(state, item)` (an array) gives for each item in turn, where `advance` makes the next
+    state. Appending to an array copies it, so long arrays are cut: the states at the begin of the
+    chunks come first, and then each chunk is scanned from its own."""
+    if not levels:
+        start = F.struct(state.cast(state_kind).alias("state"), F.array().cast(f"array<{kind}>").alias("out"))
+        step = lambda held, item: F.struct(
+            advance(held["state"], item).cast(state_kind).alias("state"),
+            F.concat(held["out"], emit(held["state"], item).cast(f"array<{kind}>")).alias("out"),
+        )
+        return F.aggregate(items, start, step)["out"]
+
+    def over_chunks(chunks: Column) -> Column:
+        whole = lambda held, chunk: F.aggregate(chunk, held, lambda x, item: advance(x, item).cast(state_kind))
+        states = _scan(chunks, state, whole, lambda held, _: F.array(held), state_kind, state_kind, levels - 1)
+        one = lambda chunk, held: _scan(chunk, held, advance, emit, state_kind, kind, 0)
+        return F.flatten(F.zip_with(chunks, states, one))
+
+    def cut(values: Column) -> Column:
+        last = F.floor(F.greatest(F.size(values) - 1, F.lit(0)) / CHUNK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(values, k * CHUNK + 1, CHUNK))
+
+    return _bound(items, lambda values: _bound(cut(values), over_chunks))
+
+
 def _spans(text: Column, pattern: str, rank: int, keep=None) -> Column:
     """The matches of a pattern as (start, rank, end), in order of position."""
     pieces = F.zip_with(
         F.split(text, pattern, -1),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")),
+        lambda gap, hit: F.struct(
+            F.length(gap).alias("gap"),
+            F.coalesce(F.length(hit), F.lit(0)).alias("hit"),
+            (hit.isNotNull() if keep is None else F.coalesce(keep(hit), F.lit(False))).alias("wanted"),
+        ),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
 
-    def step(state, piece):
-        begin = state["at"] + F.length(piece["gap"])
-        end = begin + F.length(piece["hit"])
-        span = F.array(
-            F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"))
-        )
-        wanted = piece["hit"].isNotNull() if keep is None else keep(piece["hit"])
-        spans = F.when(wanted, F.concat(state["spans"], span)).otherwise(state["spans"])
-        return F.struct(F.coalesce(end, begin).alias("at"), spans.alias("spans"))
+    def emit(at, piece):
+        begin = at + piece["gap"]
+        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), (begin + piece["hit"]).alias("end"))
+        return F.filter(F.array(span), lambda _: piece["wanted"])
 
-    found = F.aggregate(pieces, start, step)["spans"]
+    found = _scan(pieces, F.lit(0), lambda at, piece: at + piece["gap"] + piece["hit"], emit, "int", SPAN)
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
@@ -92,27 +135,23 @@ def _nearest(parts: Column, backwards: bool) -> Column:
     """Give each part the distance to the nearest access identifier and secret on one side."""
     access, secret = ("next_access", "next_secret") if backwards else ("last_access", "last_secret")
     fields = ["start", "rank", "end", "last_access", "last_secret", "next_access", "next_secret"]
-    kind = "array<struct<" + ",".join(f"{f}:int" for f in fields) + ">>"
-    start = F.struct(
-        F.lit(FAR).alias("access"), F.lit(FAR).alias("secret"), F.array().cast(kind).alias("parts")
-    )
+    kind = "struct<" + ",".join(f"{f}:int" for f in fields) + ">"
+    start = F.struct(F.lit(FAR).alias("access"), F.lit(FAR).alias("secret"))
 
-    def step(state, part):
-        def gap(edge):  # coordinates run backwards on the way back
-            return (-part["end"] if backwards else part["start"]) - edge
-
-        own = {access: gap(state["access"]), secret: gap(state["secret"])}
-        seen = F.struct(*[own.get(f, part[f]).cast("int").alias(f) for f in fields])
+    def advance(state, part):
         edge = -part["start"] if backwards else part["end"]
-        is_access = part["rank"] == 1
-        is_secret = part["rank"].isin(0, 2, 3, 4)
+        is_access, is_secret = part["rank"] == 1, part["rank"].isin(0, 2, 3, 4)
         return F.struct(
             F.when(is_access, F.greatest(state["access"], edge)).otherwise(state["access"]).alias("access"),
             F.when(is_secret, F.greatest(state["secret"], edge)).otherwise(state["secret"]).alias("secret"),
-            F.concat(state["parts"], F.array(seen)).alias("parts"),
         )
 
-    return F.aggregate(F.reverse(parts) if backwards else parts, start, step)["parts"]
+    def emit(state, part):
+        here = -part["end"] if backwards else part["start"]  # coordinates run backwards on the way back
+        own = {access: here - state["access"], secret: here - state["secret"]}
+        return F.array(F.struct(*[own.get(f, part[f]).cast("int").alias(f) for f in fields]))
+
+    return _scan(F.reverse(parts) if backwards else parts, start, advance, emit, "struct<access:int,secret:int>", kind)
 
 
 def linked_spans(text: Column, base: Column, radius: int = RADIUS) -> Column:
@@ -188,19 +227,24 @@ def redact_secrets(
         F.sort_array(F.concat("_secret_base", linked_spans(text, F.col("_secret_base"), radius))),
     )
 
-    def step(state, span):
-        # A span that begins inside the last one only extends it.
-        gap = F.substr(text, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
-        apart = span["start"] >= state["at"]
-        first = F.size(state["out"]) == 0
-        out = F.when(apart | first, F.concat(state["out"], F.array(gap, F.lit(mask)))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    state = F.aggregate("_secret_spans", start, step)
-    masked = F.concat(
-        F.array_join(state["out"], ""), F.substr(text, state["at"] + 1, F.length(text))
-    )
+    # Four bytes a code point, so that a piece is found without counting from the begin. The mark in
+    # front of a piece is the one that decoding takes off.
+    points = F.encode(text, "UTF-32")
+    mark = F.lit(bytes((0, 0, 0xFE, 0xFF)))
+
+    def masked(points):
+        def emit(at, span):
+            # A span that begins inside the last one only extends it.
+            gap = F.substring(points, at * 4 + 1, (span["start"] - at) * 4)
+            return F.filter(
+                F.array(F.decode(F.concat(mark, gap), "UTF-32"), F.lit(mask)), lambda _: span["start"] >= at
+            )
+
+        out = _scan(F.col("_secret_spans"), F.lit(0), lambda at, span: F.greatest(at, span["end"]), emit, "int", "string")
+        return F.array_join(out, "")
+
+    end = F.array_max(F.transform("_secret_spans", lambda span: span["end"]))
+    whole = F.concat(_bound(points, masked), F.substr(text, end + 1, F.length(text)))
     return found.withColumn(
-        text_col, F.when(F.size("_secret_spans") > 0, masked).otherwise(text)
+        text_col, F.when(F.size("_secret_spans") > 0, whole).otherwise(text)
     ).drop("_secret_base", "_secret_spans")
