@@ -18,10 +18,12 @@ MOST_ROWS = 2_000
 def paired_blocks(rows: DataFrame, keys: list[str], spread: str, most: int = MOST_ROWS) -> DataFrame:
     """Deal rows out so that all rows of a key meet, in groups of at most about two blocks.
 
-    Adds `block` and `group` and sorts: rows with equal `group` are neighbours in one partition. A key
-    of up to `most` rows is one group with block 0. A larger key has blocks, by the hash of `spread`,
-    and a group for every two blocks and for each one; its rows come once for each group they are
-    in. Two rows are to be compared in a group if it has one block or their blocks differ.
+    Adds `block`, `other` and `group` and sorts: rows with equal `group` are neighbours in one
+    partition. A key of up to `most` rows is one group with block 0. A larger key has blocks, by the
+    hash of `spread`, and a group for every two blocks and for each one; its rows come once for each
+    group they are in, with the group's `other` block. Two rows are to be compared in a group of one
+    block, whose rows have `other` equal to `block`, or if their blocks differ. Rows that are equal in
+    `spread` cannot be told apart, so it should be unique within a key.
     """
     counts = stored(
         rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most), "hot_keys"
@@ -36,7 +38,8 @@ def paired_blocks(rows: DataFrame, keys: list[str], spread: str, most: int = MOS
     group = F.xxhash64(*keys, low, high)
     return (
         dealt.withColumn("group", group)
-        .drop("_blocks", "_other", *[f"_{k}" for k in keys])
+        .withColumnRenamed("_other", "other")
+        .drop("_blocks", *[f"_{k}" for k in keys])
         .repartition(partitions_for(rows), "group")
         .sortWithinPartitions("group", *keys)
     )
@@ -89,13 +92,12 @@ def map_groups(
     return dealt.mapInArrow(run, schema)
 
 
-def pairs_in_groups(starts: np.ndarray, block: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def pairs_in_groups(starts: np.ndarray, block: np.ndarray, other: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The row pairs to be compared, as index arrays: first all neighbours, then those two apart, ..."""
     sizes = np.diff(starts)
     group = np.repeat(np.arange(len(sizes)), sizes)
-    # A group of two blocks compares across them only.
-    one_block = np.maximum.reduceat(block, starts[:-1]) == np.minimum.reduceat(block, starts[:-1])
-    within = one_block[group]
+    # A group of two blocks compares across them only, also if one of them has no rows.
+    within = block == other
     left = np.arange(len(group))
     for apart in range(1, int(sizes.max())):
         left = left[left + apart < len(group)]

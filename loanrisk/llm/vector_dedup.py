@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from loanrisk.llm.blocks import map_groups, paired_blocks, pairs_in_groups
 from loanrisk.llm.common import only, stored
@@ -44,16 +45,22 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.asarray(lists.flatten(), dtype=np.float64).reshape(len(lists), -1)
 
 
+def _unit(v: np.ndarray) -> np.ndarray:
+    """Vectors of length 1; scaled by the largest component first, whose square need not be finite."""
+    v = v / np.abs(v).max(axis=1, keepdims=True)
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
 def _buckets(dimensions: int, k: int, tables: int):
     """Add the array of bucket numbers, one per table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = np.random.Generator(np.random.PCG64(SEED)).standard_normal((dimensions, k * tables))
-        weights = 1 << np.arange(k, dtype=np.int64)
+        weights = 1 << np.arange(k, dtype=np.int64)  # k is far below 31
         for batch in batches:
             if batch.num_rows:
-                signs = (_matrix(batch.column("v")) @ planes > 0).reshape(-1, tables, k)
-                numbers = (signs * weights).sum(axis=2)
+                signs = (_unit(_matrix(batch.column("v"))) @ planes > 0).reshape(-1, tables, k)
+                numbers = (signs * weights).sum(axis=2).astype(np.int32)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.arange(0, numbers.size + 1, tables, dtype=np.int32)), pa.array(numbers.ravel())
                 )
@@ -63,14 +70,13 @@ def _buckets(dimensions: int, k: int, tables: int):
 
 
 def _links(threshold: float):
-    """Per bucket: (vec_id, links, other): links counted, and one neighbour that joins their tree."""
+    """Per bucket: (node, links, other): links counted, and one neighbour that joins their tree."""
 
     def compare(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        ids, copies, block, number = (
-            rows.column(c).to_numpy().astype(np.int64) for c in ("vec_id", "copies", "block", "number")
+        ids, copies, block, other_block, number = (
+            rows.column(c).to_numpy().astype(np.int64) for c in ("node", "copies", "block", "other", "number")
         )
-        v = _matrix(rows.column("v"))
-        v = v / np.linalg.norm(v, axis=1, keepdims=True)
+        v = _unit(_matrix(rows.column("v")))
         buckets = _matrix(rows.column("buckets")).astype(np.int64)
         links = np.zeros(len(ids), dtype=np.int64)
         tree = np.arange(len(ids))  # smallest row that a row's links lead to, within the group
@@ -81,7 +87,7 @@ def _links(threshold: float):
                 i = tree[i]
             return i
 
-        for left, right in pairs_in_groups(starts, block):
+        for left, right in pairs_in_groups(starts, block, other_block):
             for at in range(0, len(left), CHUNK):
                 i, j = left[at : at + CHUNK], right[at : at + CHUNK]
                 near = np.einsum("ij,ij->i", v[i], v[j]) >= threshold
@@ -99,7 +105,7 @@ def _links(threshold: float):
             other = ids[[root(i) for i in linked.tolist()]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[linked]), pa.array(links[linked]), pa.array(other)],
-                names=["vec_id", "links", "other"],
+                names=["node", "links", "other"],
             )
 
     return compare
@@ -119,12 +125,14 @@ def near_vectors(
     at least the probability `recall`; no pair below the threshold is linked. Vectors that are null,
     empty or zero, or hold nulls, NaN or infinities, link with nothing and are their own component;
     so do rows without an id, whose component is null and which are kept. Rows that repeat an id
-    count as vectors of their own. All vectors must have one length; another raises. Other columns
+    count as vectors of their own, whatever the others of that id are linked with. All vectors must have one length; another raises. Other columns
     are not read; an empty table gives an empty result.
     """
     spark = vectors.sparkSession
+    # Single precision travels as such; cosines are taken in double precision either way.
+    kind = "float" if vectors.schema[vector_col].dataType == ArrayType(FloatType()) else "double"
     rows = only(vectors, vec_id=id_col, v=vector_col).select(
-        F.col("vec_id").cast("long"), F.col("v").cast("array<double>").alias("v")
+        F.col("vec_id").cast("long"), F.col("v").cast(f"array<{kind}>").alias("v")
     )
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf))
     sound = F.col("v").isNotNull() & F.forall("v", finite) & F.exists("v", lambda x: x != 0)
@@ -133,30 +141,33 @@ def near_vectors(
         .groupBy("v")
         .agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies"))
     )
-    classes = stored(classes, "vectors")
+    # An id may stand for several vectors, so a class is known by a number of its own.
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "vectors")
     stats = classes.agg(F.count(F.lit(1)), F.min(F.size("v")), F.max(F.size("v"))).first()
     if stats[1] != stats[2]:
         raise ValueError(f"vectors have {stats[1]} to {stats[2]} components")
     k, tables = tables_for(stats[0], threshold, recall)
-    schema = "vec_id long, copies long, v array<double>, buckets array<long>"
-    hashed = classes.select("vec_id", "copies", "v").mapInArrow(_buckets(stats[1] or 1, k, tables), schema)
-    # Equal vectors under several ids: the class is known by its smallest id, which may be repeated.
+    schema = f"node long, copies long, v array<{kind}>, buckets array<int>"
+    hashed = classes.select("node", "copies", "v").mapInArrow(_buckets(stats[1] or 1, k, tables), schema)
     placed = hashed.select("*", F.posexplode("buckets").alias("number", "bucket"))
-    dealt = paired_blocks(placed.withColumn("v", F.col("v").cast("array<double>")), ["number", "bucket"], "vec_id")
+    dealt = paired_blocks(placed, ["number", "bucket"], "node")
     found = stored(
-        map_groups(dealt, ["number", "bucket"], _links(threshold), "vec_id long, links long, other long"), "links"
+        map_groups(dealt, ["number", "bucket"], _links(threshold), "node long, links long, other long"), "links"
     )
-    components = connected_components(found.select(F.col("vec_id").alias("a"), F.col("other").alias("b")))
-    per_class = stored(
-        classes.join(
-            found.groupBy("vec_id").agg(F.sum("links").alias("links")), "vec_id", "left"
-        )
-        .join(components, F.col("vec_id") == F.col("node"), "left")
+    trees = connected_components(found.select(F.col("node").alias("a"), F.col("other").alias("b")))
+    trees = trees.select(F.col("node").alias("_node"), F.col("component").alias("tree"))
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    linked = stored(
+        classes.join(links, "node", "left")
+        .join(trees, F.col("node") == F.col("_node"), "left")
         .where("copies > 1 or links is not null")
-        .select(
-            F.col("v").alias("w"),
-            (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"),
-            F.coalesce("component", "vec_id").alias("component"),
+        .select("v", "vec_id", "copies", "links", F.coalesce("tree", "node").alias("tree")),
+        "linked",
+    )
+    least = linked.groupBy(F.col("tree").alias("_tree")).agg(F.min("vec_id").alias("component"))
+    per_class = stored(
+        linked.join(least, F.col("tree") == F.col("_tree")).select(
+            F.col("v").alias("w"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"), "component"
         ),
         "classes",
     )
