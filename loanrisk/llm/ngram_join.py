@@ -305,7 +305,8 @@ def near_copies(
     shared = reduce(DataFrame.unionByName, parts)
     discard(postings)
 
-    links = stored(_verified(_pairs(shared, "c1", "low"), docs, classes, n, percent), "links")
+    stars = stored(_pairs(shared, "c1", "low"), "stars")
+    links = stored(_verified(stars, docs, classes, n, percent), "links")
     release(spark)
 
     # What the stars connect is done; pairs across components are left.
@@ -331,7 +332,8 @@ def near_copies(
     for part in _parts(rest):
         met.append(stored(_across(part, percent), "across"))
         release(spark)
-    across = reduce(DataFrame.unionByName, met).distinct()
+    # A pair that failed as part of a star is not verified again.
+    across = reduce(DataFrame.unionByName, met).distinct().join(stars, ["x", "y"], "left_anti")
     discard(rest)
     links = stored(links.unionByName(_verified(across, docs, classes, n, percent)), "links")
     release(spark)
@@ -367,13 +369,13 @@ def _across(rest: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes in different components that share a prefix shingle and pass the filters."""
 
     def compare(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        c1, component, block, size, pos = (
-            rows.column(c).to_numpy().astype(np.int64) for c in ("c1", "component", "block", "size", "pos")
+        c1, component, block, other, size, pos = (
+            rows.column(c).to_numpy().astype(np.int64) for c in ("c1", "component", "block", "other", "size", "pos")
         )
         segments = _counts(rows.column("coarse").to_pylist(), COARSE)
         needs_index = -(-2 * percent * size // (100 + percent))
         in_index = pos <= size - needs_index  # the shorter set of a pair needs a shorter prefix
-        for i, j in pairs_in_groups(starts, block):
+        for i, j in pairs_in_groups(starts, block, other):
             ok = (component[i] != component[j]) & (
                 100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])
             )
