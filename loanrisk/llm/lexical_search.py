@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from loanrisk.llm.ascii_words import words
 from loanrisk.llm.common import only, stored, utf8_values
@@ -167,14 +168,18 @@ def impacts_of(
     return weights * ((1_000_000_000 * counts) // (1000 * counts + k1 * m))
 
 
-def _search(queries: list[np.ndarray], weights: np.ndarray, documents: int, words_: int, k: int, k1: int, b: int):
+def _search(
+    ids: pa.Array, queries: list[np.ndarray], weights: np.ndarray, documents: int, words_: int, k: int, k1: int, b: int
+):
+    """The best documents among a task's blocks: (query, id, doc_id, score)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tops = [Top(k) for _ in queries]
         for batch in batches:
             for at in range(batch.num_rows):
-                ids = batch.column("doc_ids")[at].values
-                known = ids.is_valid().to_numpy(zero_copy_only=False)
-                doc_ids = ids.fill_null(0).to_numpy()
+                listed = batch.column("doc_ids")[at].values
+                known = listed.is_valid().to_numpy(zero_copy_only=False)
+                doc_ids = listed.fill_null(0).to_numpy()
                 sizes, terms, held, places, counts = (
                     batch.column(c)[at].values.to_numpy().astype(np.int64)
                     for c in ("sizes", "terms", "held", "places", "counts")
@@ -189,7 +194,8 @@ def _search(queries: list[np.ndarray], weights: np.ndarray, documents: int, word
             missing = ~np.concatenate([t.known for t in tops])
             scores = np.concatenate([t.scores for t in tops])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(number), pa.array(docs, mask=missing), pa.array(scores)], names=["query", "doc_id", "score"]
+                [pa.array(number), ids.take(pa.array(number)), pa.array(docs, mask=missing), pa.array(scores)],
+                names=["query", "id", "doc_id", "score"],
             )
 
     return run
@@ -227,8 +233,9 @@ def best_documents(
     asked = only(queries, id=query_id_col, text=query_text_col).where("text is not null")
     size = asked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = math.ceil(size / QUERY_BYTES)
-    schema = f"query int, `{query_id_col}` {asked.schema['id'].dataType.simpleString()}"
-    answers = [spark.createDataFrame([], f"{schema}, doc_id long, score long, rank int")]
+    kind = asked.schema["id"].dataType
+    found_as = f"query int, id {kind.simpleString()}, doc_id long, score long"
+    answers = [spark.createDataFrame([], f"{found_as}, rank int")]
     for group in range(groups):
         # About `QUERY_BYTES` of text, whatever the number of queries.
         rows = asked.where(F.pmod(F.xxhash64("text"), F.lit(groups)) == group).collect()
@@ -250,15 +257,12 @@ def best_documents(
             weights[row["terms"]] = math.floor(1000 * math.log((2 * documents + 2) / (2 * row["df"] + 1)))
         terms = [np.array([vocabulary[t] for t in x], dtype=np.int64) for x in found]
         terms = [np.sort(x[weights[x] > 0]) for x in terms]
-        search = _search(terms, weights, documents, words_, k, k1, b)
+        ids = pa.array([r["id"] for r in rows], to_arrow_type(kind))
         # A task yields `k` rows a query at most.
-        tops = index.mapInArrow(search, "query int, doc_id long, score long").withColumn(
-            "part", F.pmod(F.spark_partition_id(), F.lit(PARTS))
-        )
-        best = _ranked(_ranked(tops, k, "query", "part").drop("rank"), k, "query")
-        names = spark.createDataFrame([(n, r["id"]) for n, r in enumerate(rows)], schema)
-        answers.append(best.join(F.broadcast(names), "query").select("query", query_id_col, "doc_id", "score", "rank"))
+        tops = index.mapInArrow(_search(ids, terms, weights, documents, words_, k, k1, b), found_as)
+        tops = tops.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(PARTS)))
+        answers.append(_ranked(_ranked(tops, k, "query", "part").drop("rank", "part"), k, "query"))
     whole = answers[0]
     for answer in answers[1:]:
         whole = whole.unionByName(answer)
-    return whole.select(query_id_col, "rank", "doc_id", "score")
+    return whole.select(F.col("id").alias(query_id_col), "rank", "doc_id", "score")
