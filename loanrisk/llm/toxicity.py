@@ -49,7 +49,7 @@ CHANCE = 0.05
 #: Rows that the label model and the classifier are fitted on, at most.
 SAMPLE = 40_000
 SHARDS = 3
-COUNTED = 500_000
+COUNTED = 200_000
 CUT = 0.3
 
 

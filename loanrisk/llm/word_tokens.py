@@ -23,10 +23,12 @@ from loanrisk.llm.word_index import WordIndex, id_type, pieces
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
-CHARS = 16_000_000
+CHARS = 8_000_000
 SLICE = 4_000
 #: Longer words are left to the library, which merges one word without looking at it whole each time.
 LONG = 500
+#: New words are merged so many at a time.
+MERGED = 100_000
 
 # The characters of plain texts, and what they are to the vocabulary's pattern.
 _LOWER = "a-zªµºß-öø-ÿĀ-ňŊ-ſ"
@@ -53,7 +55,8 @@ class WordTokens:
             return self._by_library(words)
         long = np.fromiter((len(w) > LONG for w in words), dtype=bool, count=len(words))
         if not long.any():
-            return self._merges.encode(words)
+            parts = [self._merges.encode(words[k : k + MERGED]) for k in range(0, len(words), MERGED)]
+            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
         sizes = np.empty(len(words), dtype=np.int64)
         found = []
         for of, encode in ((~long, self._merges.encode), (long, self._by_library)):

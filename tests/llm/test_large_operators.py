@@ -31,8 +31,8 @@ def test_blocks_compare_every_pair_of_a_key_once(spark):
     def compare(table, starts):
         import pyarrow as pa
 
-        ids, block = table.column("id").to_numpy(), table.column("block").to_numpy()
-        for i, j in blocks.pairs_in_groups(starts, block):
+        ids, block, other = (table.column(c).to_numpy() for c in ("id", "block", "other"))
+        for i, j in blocks.pairs_in_groups(starts, block, other):
             yield pa.RecordBatch.from_pydict({"a": ids[i], "b": ids[j]})
 
     pairs = blocks.map_groups(dealt, ["key"], compare, "a long, b long").collect()
@@ -108,6 +108,22 @@ def test_vectors_by_brute_force(spark):
         vector_dedup.near_vectors(spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<double>"))
 
 
+def test_different_vectors_under_one_id_are_counted_apart(spark):
+    near = [1.0, 0.01, 0.0, 0.0]
+    rows = [(1, [1.0, 0.0, 0.0, 0.0]), (1, [0.0, 0.0, 0.0, 1.0]), (2, near), (7, [1e200, 0.0, 0.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in vector_dedup.near_vectors(frame).collect())
+    assert got == [(1, 0, 1), (1, 2, 1), (2, 2, 1), (7, 2, 1)]
+
+
+def test_more_near_vectors_than_a_block_under_one_id(spark):
+    rng = np.random.Generator(np.random.PCG64(8))
+    vectors = (np.array([1.0] + [0.0] * 7) + 0.003 * rng.standard_normal((4_500, 8))).tolist()
+    frame = spark.createDataFrame([(3, v) for v in vectors], "vec_id long, embedding array<float>")
+    out = vector_dedup.near_vectors(frame).groupBy("n_links", "component_id").count().collect()
+    assert [tuple(r) for r in out] == [(4_499, 3, 4_500)]
+
+
 def test_more_vectors_need_longer_hashes():
     for vectors in (10, 1_000, 10**6, 10**10):
         k, tables = vector_dedup.tables_for(vectors, 0.95)
@@ -271,7 +287,8 @@ def test_terms_in_several_parts_give_the_same_scores(spark, monkeypatch):
 def test_registered_queries():
     assert sorted(QUERIES) == sorted(
         ["op1_url_filter", "op2_toxicity", "op3_vector_dedup", "op4_byte_bpe", "op5_ngram_join", "op6_best_fit_packing",
-         "op7_token_files", "op8_line_dedup", "op9_secret_scan", "op10_exact_dedup"]
+         "op7_token_files", "op8_line_dedup", "op9_secret_scan", "op10_exact_dedup", "op11_lexical_search",
+         "op12_cutting_stock", "op13_importance_resampling"]
     )
 
 
