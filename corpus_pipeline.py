@@ -9,21 +9,33 @@ from loanrisk.llm import exact_dedup, ngram_join, packing, secret_scan, toxicity
 from loanrisk.llm.common import let_workers_import, stored, table
 
 
+#: Rows and bytes of the batches that go to Python workers, which hold a few at a time beside the
+#: executor's heap. Documents are long, so the defaults are lowered; smaller settings stay.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2_000, "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
+
+
+def prepare(spark: SparkSession) -> None:
+    let_workers_import(spark)
+    for name, most in BATCH.items():
+        if not 0 < int(spark.conf.get(name).removesuffix("b")) <= most:
+            spark.conf.set(name, str(most))
+
+
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go; the model learns from the labels of the others."""
-    let_workers_import(spark)
+    prepare(spark)
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the largest id stays."""
-    let_workers_import(spark)
+    prepare(spark)
     return exact_dedup.drop_exact_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a Jaccard similarity of 0.8 on five words the smallest id stays."""
-    let_workers_import(spark)
+    prepare(spark)
     return ngram_join.drop_near_copies(docs)
 
 
@@ -38,7 +50,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of all documents, each with its sequence and place."""
-    let_workers_import(spark)
+    prepare(spark)
     return packing.pack(packing.token_pieces(docs))
 
 
