@@ -29,6 +29,8 @@ WORD = re.compile(
 class ByteTokens(WordTokens):
     """As `WordTokens`, for the byte-level vocabulary: case and white space are kept."""
 
+    chars = 16_000_000
+
     @staticmethod
     def cut(text: str) -> list[str]:
         return WORD.findall(text)

@@ -41,6 +41,9 @@ WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LOWER}]+|[{_NUMBER}]|[^{_SPACE}{_
 class WordTokens:
     """Encoder with an index of words; `worker_tokens` shares one among the tasks of a process."""
 
+    #: New words are encoded together once the texts that wait for them have so many characters.
+    chars = CHARS
+
     def __init__(self, vocabulary: str = VOCABULARY):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
@@ -91,13 +94,12 @@ class WordTokens:
         return WORD.findall(text.lower())
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
-        """The ids of each text without special tokens; null counts as empty. New words are encoded
-        together, `CHARS` characters of texts at a time."""
+        """The ids of each text without special tokens; null counts as empty."""
         held, size = [], 0
         for text in texts:
             held.append(self._waiting(text))
             size += len(text or "")
-            if size >= CHARS:
+            if size >= self.chars:
                 yield from self._encoded(held)
                 held, size = [], 0
         yield from self._encoded(held)
