@@ -31,6 +31,9 @@ class ByteTokens(WordTokens):
 
     chars = 16_000_000
 
+    def __init__(self, vocabulary: str = VOCABULARY):
+        super().__init__(vocabulary)
+
     @staticmethod
     def cut(text: str) -> list[str]:
         return WORD.findall(text)

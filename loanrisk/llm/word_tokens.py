@@ -106,12 +106,12 @@ class WordTokens:
 
     def _encoded(self, held: list[tuple[bool, np.ndarray]]) -> Iterator[np.ndarray]:
         self._words.learn()
-        for done, found in held:
-            yield found if done else self._words.ids(found)
+        ids = [found if done else self._words.ids(found) for done, found in held]
         waiting = [found for done, found in held if not done]
         if waiting:
             self._words.note(np.concatenate(waiting))
-        self._words.trim()
+        self._words.trim()  # before the results are handed out: the last may not be waited for
+        yield from ids
 
     def documents(self, texts: Iterable[str | None], end_id: int = END_ID) -> Iterator[np.ndarray]:
         end = np.array([end_id], dtype=id_type(end_id))
