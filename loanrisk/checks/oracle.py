@@ -282,12 +282,14 @@ def _again(suffix: str, raw: str) -> dict[str, str]:
     return {f"{name}{suffix}": renamed(sql) for name, sql in base.items() if name != "raw"} | {f"raw{suffix}": raw}
 
 
-# Two loads: half of the records, and all of them with another limit or home for some.
+# Two loads: half of the records, and all of them with another limit or home for some. The early load
+# of the run by member parts holds the loans with some last digits of the id.
 _LOADS = {
     "_one": "SELECT * FROM raw WHERE CAST(url AS BIGINT) % 2 = 0",
     "_two": """SELECT * REPLACE (
   CASE WHEN CAST(url AS BIGINT) % 4 = 1 THEN tot_hi_cred_lim + 7 ELSE tot_hi_cred_lim END AS tot_hi_cred_lim,
   CASE WHEN addr_state = 'IL' THEN 'MOVED' ELSE home_ownership END AS home_ownership) FROM raw""",
+    "_early": "SELECT * FROM raw WHERE right(id, 1) IN ('0', '2', '4', '6', '8')",
 }
 for _copies in [_again(suffix, raw) for suffix, raw in _LOADS.items()]:
     _raw = {name: sql for name, sql in _copies.items() if name.startswith("raw_")}
@@ -302,6 +304,16 @@ _CHANGED = " OR ".join(
 )
 
 
+def _versions(one: str, two: str) -> str:
+    """The customers of a first load, and what a second one closes and opens."""
+    return f"""SELECT a.* REPLACE (CASE WHEN b.member_id IS NOT NULL AND ({_CHANGED}) THEN DATE '2024-06-01'
+  ELSE a.end_date END AS end_date, b.member_id IS NULL OR NOT ({_CHANGED}) AS is_current)
+FROM {one} a LEFT JOIN {two} b ON a.member_id = b.member_id
+UNION ALL SELECT b.* REPLACE (DATE '2024-06-01' AS effective_date)
+FROM {two} b LEFT JOIN {one} a ON a.member_id = b.member_id
+WHERE a.member_id IS NULL OR {_CHANGED}"""
+
+
 def _needed(sql: str) -> list[str]:
     """Names of the expressions a query refers to, directly or not, in definition order."""
     found: set[str] = set()
@@ -509,15 +521,10 @@ _SQL = {
     "full_run": "SELECT * FROM scores",
     # The loads of the append run make up all records, so its Gold is that of one load.
     "append_run": "SELECT * FROM scores",
-    "load_history": (
-        f"""SELECT a.* REPLACE (CASE WHEN b.member_id IS NOT NULL AND ({_CHANGED}) THEN DATE '2024-06-01'
-  ELSE a.end_date END AS end_date, b.member_id IS NULL OR NOT ({_CHANGED}) AS is_current)
-FROM customers_one a LEFT JOIN customers_two b ON a.member_id = b.member_id
-UNION ALL SELECT b.* REPLACE (DATE '2024-06-01' AS effective_date)
-FROM customers_two b LEFT JOIN customers_one a ON a.member_id = b.member_id
-WHERE a.member_id IS NULL OR {_CHANGED}"""
-    ),
+    "load_history": _versions("customers_one", "customers_two"),
     "append_history": "SELECT * FROM scores_two",
+    "append_by_parts": "SELECT * FROM scores",
+    "history_by_parts": _versions("customers_early", "customers"),
     "raw_csv_load": (
         f"SELECT {', '.join(quoted(n) for n in RAW_COLUMNS)}, 'orders' AS _source_file, "
         "'20240101_020000' AS _batch_id FROM parsed_bronze"

@@ -250,6 +250,31 @@ def append_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, _two_loads(spark, sf_dir), c.RISK_SCORES).drop("_scored_at")
 
 
+#: Folders of the run by member parts.
+PARTS = 16
+
+
+def _appends_by_parts(spark: SparkSession, sf_dir: str) -> c.TableLayout:
+    """Two appends into an empty lake stored by member part: the loans with some last digits of the
+    id, then all records; the second one builds on what the first one stored."""
+    layout = c.TableLayout(path=new_shared_folder(spark, "loanrisk-parts"))
+    raw = raw_loans(spark, sf_dir)
+    first = raw.where(F.right(F.col("id"), F.lit(1)).isin("0", "2", "4", "6", "8"))
+    for load, day in ((first, LOAD_DATE), (raw, SECOND_LOAD)):
+        full_run.full_run(spark, load, layout, SOURCE, BATCH_TS, day, append=True, member_parts=PARTS)
+    return layout
+
+
+def append_by_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after the two appends by member part."""
+    return read_table(spark, _appends_by_parts(spark, sf_dir), c.RISK_SCORES).drop("_scored_at")
+
+
+def history_by_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All versions of the customers after the two appends by member part."""
+    return read_table(spark, _appends_by_parts(spark, sf_dir), c.DIM_CUSTOMERS).drop("_transformed_at")
+
+
 def raw_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze from CSV: the records of the whole table written as text, scanned and loaded. An empty
     text and a null are the same to the scan, which makes both null."""
@@ -405,6 +430,8 @@ QUERIES: dict[str, Query] = {
     "append_run": append_run,
     "load_history": load_history,
     "append_history": append_history,
+    "append_by_parts": append_by_parts,
+    "history_by_parts": history_by_parts,
     # later loads and summaries
     "incremental_append": incremental_append,
     "vintage_summary": lambda s, d: reports.vintage_summary(*_loans_and_scores(s, d)),

@@ -144,7 +144,23 @@ TABLE_LAYER = {
 # Tables about the loads, which hold no loans.
 REJECTED_LINES = "rejected_raw_lines"
 LOAD_PROFILES = "load_profiles"
-SIDE_TABLES = {REJECTED_LINES: "bronze", LOAD_PROFILES: "bronze"}
+# Tables that appends by member part build on (see `plans.incremental`).
+LOAD_STATE = "load_state"
+LATEST_CUSTOMERS = "latest_customers"
+LATEST_DEFAULTERS = "latest_defaulters"
+EMPLOYMENT_YEARS = "employment_years"
+
+SIDE_TABLES = {
+    REJECTED_LINES: "bronze",
+    LOAD_PROFILES: "bronze",
+    LOAD_STATE: "bronze",
+    LATEST_CUSTOMERS: "silver",
+    LATEST_DEFAULTERS: "silver",
+    EMPLOYMENT_YEARS: "silver",
+}
+
+#: The folder column of tables stored by member part; `read_table` leaves it out.
+MEMBER_PART = "_member_part"
 
 # Key column of each table that has one.
 TABLE_KEY = {

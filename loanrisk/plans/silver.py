@@ -116,6 +116,25 @@ def _stamped(df: DataFrame) -> DataFrame:
     return df.withColumn("_transformed_at", F.current_timestamp())
 
 
+TIE = "_tie_"
+
+
+def _candidates(bronze: DataFrame, columns: Sequence[Column], tie_breakers: Sequence[str]) -> DataFrame:
+    """The selected columns and those that decide between ties."""
+    return bronze.select(*columns, *[F.col(raw).alias(TIE + raw) for raw in tie_breakers])
+
+
+def _newest(candidates: DataFrame, key: str, order_column: str) -> DataFrame:
+    """One row per key: the one with the highest `order_column`. The newest of the newest rows of two
+    sets are the newest of both, so stored ones can be compared with those of a later load."""
+    ties = [name for name in candidates.columns if name.startswith(TIE)]
+    return dedup_by_key(candidates, [key], order_column, tie_breakers=ties)
+
+
+def without_ties(rows: DataFrame) -> DataFrame:
+    return rows.drop(*[name for name in rows.columns if name.startswith(TIE)])
+
+
 def _latest(
     bronze: DataFrame,
     columns: Sequence[Column],
@@ -123,10 +142,7 @@ def _latest(
     order_column: str,
     tie_breakers: Sequence[str],
 ) -> DataFrame:
-    """One row per key of the selected columns: the one with the highest `order_column`."""
-    ties = {f"_tie_{raw}": F.col(raw) for raw in tie_breakers}
-    selected = bronze.select(*columns, *[raw.alias(name) for name, raw in ties.items()])
-    return dedup_by_key(selected, [key], order_column, tie_breakers=list(ties)).drop(*ties)
+    return without_ties(_newest(_candidates(bronze, columns, tie_breakers), key, order_column))
 
 
 # ---- customers ---------------------------------------------------------------------------------
@@ -142,19 +158,33 @@ def extract_customers(bronze: DataFrame) -> DataFrame:
     return bronze.select(*customer_columns())
 
 
-def latest_customers(bronze: DataFrame, tie_breakers: Sequence[str] = TIE_BREAKERS) -> DataFrame:
+def customer_candidates(bronze: DataFrame, tie_breakers: Sequence[str] = TIE_BREAKERS) -> DataFrame:
     known_income = bronze.where(F.col("annual_inc").isNotNull())
-    return _latest(known_income, customer_columns(), "member_id", "annual_income", tie_breakers)
+    return _candidates(known_income, customer_columns(), tie_breakers)
+
 
+def newest_customers(candidates: DataFrame) -> DataFrame:
+    return _newest(candidates, "member_id", "annual_income")
+
+
+def latest_customers(bronze: DataFrame, tie_breakers: Sequence[str] = TIE_BREAKERS) -> DataFrame:
+    return without_ties(newest_customers(customer_candidates(bronze, tie_breakers)))
 
-def with_employment_years(customers: DataFrame) -> DataFrame:
+
+def whole_years(mean: Column) -> Column:
+    return F.bround(mean, 0).cast("int")
+
+
+def with_employment_years(customers: DataFrame, mean: Column | None = None) -> DataFrame:
     """`emp_length` as whole years; unreadable values get the rounded mean of the readable ones.
 
     The mean is a scalar subquery: it is computed on the executors, in the same query. It reads the
-    customers a second time, so these should be stored rows (see `dim_customers`).
+    customers a second time, so these should be stored rows (see `dim_customers`). A `mean` that is
+    known already, in whole years, is used instead.
     """
     years = customers.withColumn("emp_length", first_number("emp_length"))
-    mean = years.agg(F.bround(F.avg("emp_length"), 0).cast("int")).scalar()
+    if mean is None:
+        mean = years.agg(whole_years(F.avg("emp_length"))).scalar()
     # A mean of zero counts as no mean.
     usual = F.coalesce(F.nullif(mean, F.lit(0)), F.lit(DEFAULT_EMPLOYMENT_YEARS))
     return years.withColumn("emp_length", F.coalesce("emp_length", usual))
@@ -189,6 +219,19 @@ def with_customer_features(customers: DataFrame) -> DataFrame:
     )
 
 
+def complete_customers(
+    latest: DataFrame, limits: QualityLimits = QualityLimits(), mean: Column | None = None
+) -> DataFrame:
+    """All attributes of deduplicated customers; `mean` as in `with_employment_years`."""
+    return (
+        latest.transform(with_employment_years, mean)
+        .transform(with_job_category)
+        .transform(with_clean_state)
+        .transform(with_capped_income, limits)
+        .transform(with_customer_features)
+    )
+
+
 def customer_attributes(
     bronze: DataFrame,
     limits: QualityLimits = QualityLimits(),
@@ -199,14 +242,22 @@ def customer_attributes(
     The deduplicated rows are written to the shared folder once: the mean employment length needs
     them all before any of them can be completed, and reads one column of what was written.
     """
-    return (
-        staged(latest_customers(bronze, tie_breakers), "latest-customers")
-        .transform(with_employment_years)
-        .transform(with_job_category)
-        .transform(with_clean_state)
-        .transform(with_capped_income, limits)
-        .transform(with_customer_features)
-    )
+    return complete_customers(staged(latest_customers(bronze, tie_breakers), "latest-customers"), limits)
+
+
+def first_versions(attributes: DataFrame, load_date: date | None = None) -> DataFrame:
+    return attributes.transform(scd2_initial, load_date).transform(_stamped)
+
+
+def later_versions(
+    stored: DataFrame,
+    attributes: DataFrame,
+    load_date: date | None = None,
+    tracked: Sequence[str] = TRACKED_ATTRIBUTES,
+) -> DataFrame:
+    """The stored versions after a load that found these attributes (see `history.scd2_merge`)."""
+    incoming = attributes.transform(_stamped)
+    return scd2_merge(stored, incoming, "member_id", tracked, load_date).select(*stored.columns)
 
 
 def dim_customers(
@@ -216,7 +267,7 @@ def dim_customers(
     tie_breakers: Sequence[str] = TIE_BREAKERS,
 ) -> DataFrame:
     """The members' first versions."""
-    return customer_attributes(bronze, limits, tie_breakers).transform(scd2_initial, load_date).transform(_stamped)
+    return first_versions(customer_attributes(bronze, limits, tie_breakers), load_date)
 
 
 def dim_customers_after(
@@ -236,9 +287,7 @@ def dim_customers_after(
     one of those is a new member; `emp_length` is not tracked because a missing one is the mean over
     all members, which any load may move.
     """
-    columns = stored.columns
-    incoming = customer_attributes(bronze, limits, tie_breakers).transform(_stamped)
-    return scd2_merge(stored, incoming, "member_id", tracked, load_date).select(*columns)
+    return later_versions(stored, customer_attributes(bronze, limits, tie_breakers), load_date, tracked)
 
 
 # ---- loans -------------------------------------------------------------------------------------
@@ -360,9 +409,17 @@ def extract_defaulters(bronze: DataFrame) -> DataFrame:
     return bronze.select(*defaulter_columns())
 
 
-def latest_defaulters(bronze: DataFrame, tie_breakers: Sequence[str] = TIE_BREAKERS) -> DataFrame:
+def defaulter_candidates(bronze: DataFrame, tie_breakers: Sequence[str] = TIE_BREAKERS) -> DataFrame:
     keyed = bronze.where(F.col("member_id").isNotNull())
-    return _latest(keyed, defaulter_columns(), "member_id", "delinq_2yrs", tie_breakers)
+    return _candidates(keyed, defaulter_columns(), tie_breakers)
+
+
+def newest_defaulters(candidates: DataFrame) -> DataFrame:
+    return _newest(candidates, "member_id", "delinq_2yrs")
+
+
+def latest_defaulters(bronze: DataFrame, tie_breakers: Sequence[str] = TIE_BREAKERS) -> DataFrame:
+    return without_ties(newest_defaulters(defaulter_candidates(bronze, tie_breakers)))
 
 
 def with_delinquency_aging(defaulters: DataFrame) -> DataFrame:
@@ -377,11 +434,14 @@ def with_compound_risk(defaulters: DataFrame) -> DataFrame:
     return defaulters.withColumn("compound_risk_indicator", compound_risk_indicator())
 
 
-def dim_defaulters(bronze: DataFrame, tie_breakers: Sequence[str] = TIE_BREAKERS) -> DataFrame:
+def complete_defaulters(latest: DataFrame) -> DataFrame:
     return (
-        latest_defaulters(bronze, tie_breakers)
-        .transform(with_delinquency_aging)
+        latest.transform(with_delinquency_aging)
         .transform(with_risk_tier)
         .transform(with_compound_risk)
         .transform(_stamped)
     )
+
+
+def dim_defaulters(bronze: DataFrame, tie_breakers: Sequence[str] = TIE_BREAKERS) -> DataFrame:
+    return complete_defaulters(latest_defaulters(bronze, tie_breakers))

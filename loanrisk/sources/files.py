@@ -26,3 +26,10 @@ def move(spark: SparkSession, path: str, to: str) -> None:
     system, place = _at(spark, path)
     if not system.rename(place, _at(spark, to)[1]):
         raise OSError(f"cannot move {path} to {to}")
+
+
+def matching(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    """Names in a folder that match a glob pattern; none if there is no such folder."""
+    system, place = _at(spark, folder)
+    found = system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(place, pattern))
+    return sorted(status.getPath().getName() for status in found or [])

@@ -3,7 +3,8 @@
 An overwrite never touches the stored table while it runs: rows are written beside it and swapped in
 by renaming, so a job may read the table it replaces, and a failed one leaves it as it was. A job that
 dies between the two renames leaves the old rows under their backup name, from which the next read or
-write brings them back. (Delta replaces tables by itself.)
+write brings them back. (Delta replaces tables by itself.) `replace_parts` does the same for single
+folders of a table stored by member part.
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanrisk.config import TableLayout
+from loanrisk.config import MEMBER_PART, TableLayout
 from loanrisk.sources import files
 
 
@@ -118,13 +120,58 @@ def restore_table(spark: SparkSession, layout: TableLayout, table: str) -> None:
     backup = _backup(place, by_path)
     if not _there(spark, place, by_path) and _there(spark, backup, by_path):
         _move(spark, backup, place, by_path)
+    if by_path:
+        for name in files.matching(spark, place, f"{_OLD_PART}*"):
+            part = _part_folder(int(name.removeprefix(_OLD_PART)))
+            if not files.exists(spark, f"{place}/{part}"):
+                files.move(spark, f"{place}/{name}", f"{place}/{part}")
+
+
+#: Names of old folders between the renames; an underscore and no equals sign hide them from scans.
+_OLD_PART = "_old_part."
+
+
+def _part_folder(part: int) -> str:
+    return f"{MEMBER_PART}={part}"
+
+
+def replace_parts(df: DataFrame, layout: TableLayout, table: str, parts: Sequence[int]) -> None:
+    """Replace some folders of a Parquet table under a path that is stored by member part.
+
+    `df` holds all rows the named parts shall have, with their part; it may read the table. Rows are
+    written beside the table and swapped in folder by folder; all other folders stay as they are. A
+    job that fails leaves the table as it was. One that dies between two renames leaves each folder
+    with all its old or all its new rows (see `restore_table`).
+    """
+    spark, place = df.sparkSession, layout.locate(table)
+    restore_table(spark, layout, table)
+    new = f"{place.rpartition('/')[0]}/_{table}.{uuid.uuid4().hex}"
+    try:
+        df.hint("rebalance", MEMBER_PART).write.partitionBy(MEMBER_PART).format(layout.fmt).save(new)
+        for part in parts:
+            folder, backup = f"{place}/{_part_folder(part)}", f"{place}/{_OLD_PART}{part}"
+            files.delete(spark, backup)  # of an earlier swap that did not get to the end
+            if files.exists(spark, folder):
+                files.move(spark, folder, backup)
+            if files.exists(spark, f"{new}/{_part_folder(part)}"):
+                files.move(spark, f"{new}/{_part_folder(part)}", folder)
+            files.delete(spark, backup)
+    finally:
+        files.delete(spark, new)
+
+
+def read_parts(spark: SparkSession, layout: TableLayout, table: str, parts: Sequence[int] | None) -> DataFrame:
+    """The rows of some parts, or of all, with the part; the scan opens no file of another part."""
+    restore_table(spark, layout, table)
+    rows = spark.read.format(layout.fmt).load(layout.locate(table))
+    return rows if parts is None else rows.where(F.col(MEMBER_PART).isin(list(parts)))
 
 
 def read_table(spark: SparkSession, layout: TableLayout, table: str) -> DataFrame:
     restore_table(spark, layout, table)
     if layout.path is None:
         return spark.table(layout.locate(table))
-    return spark.read.format(layout.fmt).load(layout.locate(table))
+    return spark.read.format(layout.fmt).load(layout.locate(table)).drop(MEMBER_PART)
 
 
 def table_exists(spark: SparkSession, layout: TableLayout, table: str) -> bool:
