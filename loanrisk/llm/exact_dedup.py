@@ -3,9 +3,11 @@
 Every text is cut where a rolling hash of its last 32 bytes says so, in one pass that keeps the
 text where it is read. What travels is the recipe: the ordered list of chunk identifiers (8 bytes
 for about 2 KB of text). Identifiers are verified: wherever two chunks share an identifier but not
-their SHA-256, all texts that hold this identifier also compare their lists of SHA-256. Texts are
-equal exactly when their recipes are, and recipes are grouped with a partial count per task, so a
-text with a third of all rows costs one row per task.
+their SHA-256, all texts that hold this identifier also compare their lists of SHA-256 (normally
+there is none, and no text is looked up). Texts are equal exactly when their recipes are, and recipes
+are grouped with a partial count per task, so a text with a third of all rows costs one row per task.
+Members meet their group by recipe and slice: a group with more rows than the mean partition is
+repeated once per slice of that many, so no task gets all of its members.
 """
 
 from __future__ import annotations
@@ -20,7 +22,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanrisk.llm.common import only, rows_without_ids, stored, utf8_values
+from loanrisk.config import SkewConfig
+from loanrisk.llm.common import BROADCAST_IDS, only, partitions_for, rows_without_ids, stored, utf8_values
+from loanrisk.operators.skew import SLICE, SLICES, repeat_per_slice, scatter
 
 WINDOW = 32
 SHORTEST, MEAN_BITS, LONGEST = 512, 11, 16_384
@@ -91,15 +95,19 @@ def chunk_recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     schema = "row long, doc_id long, text_sha256 string, recipe array<long>, proofs array<binary>"
     recipes = stored(rows.mapInArrow(_recipes, schema), "recipes")
     each = recipes.select("row", F.explode(F.arrays_zip("recipe", "proofs")).alias("c"))
-    clashing = (
+    clashing = stored(
         each.groupBy(F.col("c.recipe").alias("chunk"))
         .agg(F.min("c.proofs").alias("least"), F.max("c.proofs").alias("most"))
         .where("least != most")
-        .select("chunk")
+        .select("chunk"),
+        "clashing",
     )
+    known = clashing.count()
+    if known == 0:
+        return recipes.drop("proofs").withColumn("proof", F.lit(None).cast("array<binary>"))
     doubtful = (
         each.select("row", F.col("c.recipe").alias("chunk"))
-        .join(clashing, "chunk", "left_semi")
+        .join(F.broadcast(clashing) if known <= BROADCAST_IDS else clashing, "chunk", "left_semi")
         .select("row", F.lit(True).alias("doubtful"))
         .distinct()
     )
@@ -108,6 +116,32 @@ def chunk_recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
+#: Name of a recipe in the list of large groups. Two recipes may share one: both are sliced then.
+NAME = "_recipe_name"
+
+
+def _with_groups(recipes: DataFrame, groups: DataFrame) -> DataFrame:
+    """Every recipe row with the `top` and `group_size` of its group; null if it is alone.
+
+    Groups with more rows than the mean shuffle partition are met slice by slice. There are fewer of
+    them than partitions, so their list is broadcast.
+    """
+    share = max(1, -(-recipes.count() // partitions_for(recipes)))
+    name = F.xxhash64("recipe")
+    large = (
+        groups.where(F.col("group_size") > share)
+        .groupBy(name.alias(NAME))
+        .agg(F.ceil(F.max("group_size") / share).cast("int").alias(SLICES))
+    )
+    config = SkewConfig(slice_rows=share)
+    members = scatter(recipes.withColumn(NAME, name), large, NAME, "row", config)
+    repeated = repeat_per_slice(groups.withColumn(NAME, name), large, NAME).select(
+        F.col("recipe").alias("r"), F.col("proof").alias("p"), F.col(SLICE).alias("s"), "top", "group_size"
+    )
+    same = F.col("recipe").eqNullSafe(F.col("r")) & F.col("proof").eqNullSafe(F.col("p"))
+    return members.join(repeated, same & (F.col(SLICE) == F.col("s")), "left")
+
+
 def exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: `doc_id`, `keep_id`, `group_size`, `kept`, `text_sha256`.
 
@@ -123,11 +157,7 @@ def exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .where("group_size > 1"),
         "groups",
     )
-    member = recipes.join(
-        groups.select(F.col("recipe").alias("r"), F.col("proof").alias("p"), "top", "group_size"),
-        F.col("recipe").eqNullSafe(F.col("r")) & F.col("proof").eqNullSafe(F.col("p")),
-        "left",
-    )
+    member = _with_groups(recipes, groups)
     return member.select(
         "doc_id",
         F.when(F.col("top").isNull(), F.col("doc_id")).otherwise(F.col("top.doc_id")).alias("keep_id"),

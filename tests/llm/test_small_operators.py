@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -177,6 +178,48 @@ def test_exact_copies(spark):
     assert exact_dedup.exact_copies(documents(spark, rows).limit(0)).count() == 0
 
 
+def grouped(rows):
+    """Kept id and size of the group of each row, by plain Python."""
+    sizes, best = {}, {}
+    for doc, text in rows:
+        sizes[text] = sizes.get(text, 0) + 1
+        best[text] = max(best.get(text, doc), doc)
+    return {doc: (best[text], sizes[text], best[text] == doc) for doc, text in rows}
+
+
+def found(spark, rows):
+    out = exact_dedup.exact_copies(documents(spark, rows)).collect()
+    assert len(out) == len(rows)
+    return {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in out}
+
+
+def test_a_large_group_is_met_in_slices(spark):
+    rows = [(i, "the same text" if i % 3 == 0 else "" if i % 3 == 1 else f"text {i // 6}") for i in range(900)]
+    recipes = exact_dedup.chunk_recipes(documents(spark, rows))
+    groups = recipes.groupBy("recipe", "proof").agg(F.max(F.struct("doc_id", "row")).alias("top"), F.count(F.lit(1)).alias("group_size"))
+    met = exact_dedup._with_groups(recipes, groups)
+    assert met.count() == 900 and met.where("top is null").isEmpty()
+    slices = met.groupBy("recipe", exact_dedup.SLICE).count()
+    assert slices.agg(F.max("count")).first()[0] < 200  # 300 rows each, 113 to a slice on average
+    assert found(spark, rows) == grouped(rows)
+
+
+@pytest.mark.parametrize("broadcast_ids", [exact_dedup.BROADCAST_IDS, 0])
+def test_chunks_that_share_an_identifier_are_told_apart(spark, monkeypatch, broadcast_ids):
+    plain = exact_dedup._recipes
+
+    def few_names(batches):
+        for batch in plain(batches):
+            lists = [[x % 3 for x in ids] for ids in batch.column("recipe").to_pylist()]
+            at = batch.schema.get_field_index("recipe")
+            yield batch.set_column(at, "recipe", pa.array(lists, pa.list_(pa.int64())))
+
+    monkeypatch.setattr(exact_dedup, "_recipes", few_names)
+    monkeypatch.setattr(exact_dedup, "BROADCAST_IDS", broadcast_ids)
+    rows = [(i, f"text {i // 2}" if i % 5 else "") for i in range(120)]
+    assert found(spark, rows) == grouped(rows)
+
+
 # ---- byte-level BPE
 
 
