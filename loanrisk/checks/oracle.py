@@ -468,6 +468,7 @@ _SQL = {
         "FROM loans l LEFT JOIN defaulters d ON l.member_id = d.member_id"
     ),
     "gold_join": "SELECT * FROM joined",
+    "gold_join_counted": "SELECT * FROM joined",
     "score_payment": "SELECT loan_id, last_payment_pts, total_payment_pts FROM points",
     "score_default": (
         "SELECT loan_id, delinq_pts, public_records_pts, bankruptcy_pts, inquiry_pts FROM points"
@@ -525,6 +526,7 @@ _SQL = {
     "append_history": "SELECT * FROM scores_two",
     "append_by_parts": "SELECT * FROM scores",
     "history_by_parts": _versions("customers_early", "customers"),
+    "member_loan_counts": "SELECT member_id, count(*) AS row_count FROM loans GROUP BY 1",
     "raw_csv_load": (
         f"SELECT {', '.join(quoted(n) for n in RAW_COLUMNS)}, 'orders' AS _source_file, "
         "'20240101_020000' AS _batch_id FROM parsed_bronze"

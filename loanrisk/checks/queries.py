@@ -270,6 +270,22 @@ def append_by_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, _appends_by_parts(spark, sf_dir), c.RISK_SCORES).drop("_scored_at")
 
 
+def member_loan_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loans per member as stored with the loans, after the two appends by member part."""
+    return read_table(spark, _appends_by_parts(spark, sf_dir), c.MEMBER_LOANS)
+
+
+def gold_join_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join of the stored Silver tables of a full run, its hot members known from the stored
+    counts; any member with two loans counts as hot."""
+    layout = c.TableLayout(path=new_shared_folder(spark, "loanrisk-counted"))
+    full_run.full_run(spark, raw_loans(spark, sf_dir), layout, SOURCE, BATCH_TS, LOAD_DATE)
+    names = (c.DIM_CUSTOMERS, c.FACT_LOANS, c.FACT_REPAYMENTS, c.DIM_DEFAULTERS)
+    tables = [read_table(spark, layout, name) for name in names]
+    config = c.SkewConfig(slice_rows=1)
+    return gold.gold_join(*tables, config, member_counts=read_table(spark, layout, c.MEMBER_LOANS))
+
+
 def history_by_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All versions of the customers after the two appends by member part."""
     return read_table(spark, _appends_by_parts(spark, sf_dir), c.DIM_CUSTOMERS).drop("_transformed_at")
@@ -394,6 +410,7 @@ QUERIES: dict[str, Query] = {
         1, 3, gold.join_defaulters,
         "loan_id", "member_id", "loan_amount", "delinq_2yrs", "default_risk_tier",
     ),
+    "gold_join_counted": gold_join_counted,
     "gold_join": _joined,
     # scoring
     "score_payment": _on_joined(gold.score_payment, "last_payment_pts", "total_payment_pts"),
@@ -432,6 +449,7 @@ QUERIES: dict[str, Query] = {
     "append_history": append_history,
     "append_by_parts": append_by_parts,
     "history_by_parts": history_by_parts,
+    "member_loan_counts": member_loan_counts,
     # later loads and summaries
     "incremental_append": incremental_append,
     "vintage_summary": lambda s, d: reports.vintage_summary(*_loans_and_scores(s, d)),

@@ -144,6 +144,8 @@ TABLE_LAYER = {
 # Tables about the loads, which hold no loans.
 REJECTED_LINES = "rejected_raw_lines"
 LOAD_PROFILES = "load_profiles"
+# Loans per member, written with the loans, from which Gold knows the members that hold many.
+MEMBER_LOANS = "member_loan_counts"
 # Tables that appends by member part build on (see `plans.incremental`).
 LOAD_STATE = "load_state"
 LATEST_CUSTOMERS = "latest_customers"
@@ -153,6 +155,7 @@ EMPLOYMENT_YEARS = "employment_years"
 SIDE_TABLES = {
     REJECTED_LINES: "bronze",
     LOAD_PROFILES: "bronze",
+    MEMBER_LOANS: "silver",
     LOAD_STATE: "bronze",
     LATEST_CUSTOMERS: "silver",
     LATEST_DEFAULTERS: "silver",

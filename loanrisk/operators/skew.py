@@ -20,18 +20,30 @@ from loanrisk.config import SkewConfig
 SLICE = "_slice"
 SLICES = "_slices"
 
-def hot_keys(df: DataFrame, key: str, config: SkewConfig = SkewConfig()) -> DataFrame:
-    """The large keys of `df` and the number of slices for each: columns `key`, `_slices`.
 
-    One aggregation with map-side partial counts, reading the key column only; its exchange also
-    serves the total. Both sides of a join must see the same list, so `df` must give the same rows
-    whenever it is read.
+def key_counts(df: DataFrame, key: str) -> DataFrame:
+    """Rows per key that is not null: columns `key`, `row_count`.
+
+    One aggregation with map-side partial counts, which reads the key column only. Stored beside a
+    table, the counts spare later joins that scan (see `hot_counted`).
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    share = counts.agg(F.sum("_n") / F.lit(config.max_hot_keys)).scalar()
-    return counts.where(F.col("_n") > F.greatest(F.lit(float(config.slice_rows)), share)).select(
-        key, F.ceil(F.col("_n") / config.slice_rows).cast("int").alias(SLICES)
-    )
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def hot_counted(counts: DataFrame, key: str, config: SkewConfig = SkewConfig()) -> DataFrame:
+    """The large keys among `key_counts` and the number of slices for each: columns `key`, `_slices`.
+
+    Both sides of a join must see the same list, so `counts` must give the same rows whenever it is
+    read.
+    """
+    share = counts.agg(F.sum("row_count") / F.lit(config.max_hot_keys)).scalar()
+    large = F.col("row_count") > F.greatest(F.lit(float(config.slice_rows)), share)
+    return counts.where(large).select(key, F.ceil(F.col("row_count") / config.slice_rows).cast("int").alias(SLICES))
+
+
+def hot_keys(df: DataFrame, key: str, config: SkewConfig = SkewConfig()) -> DataFrame:
+    """The large keys of `df`, counted in place; the exchange of the counts also serves the total."""
+    return hot_counted(key_counts(df, key), key, config)
 
 
 def scatter(

@@ -22,6 +22,7 @@ from loanrisk import config as c
 from loanrisk.operators.append import new_rows
 from loanrisk.operators.profile import PROFILE, load_profile, require_gates
 from loanrisk.operators.quality import critical_nulls, key_report, observe_rows, require_filled, row_counts
+from loanrisk.operators.skew import key_counts
 from loanrisk.plans import bronze, gold, incremental, silver
 from loanrisk.sources.raw_files import CORRUPT, add_audit_columns
 from loanrisk.sources.shared_folder import new_shared_folder, staged
@@ -220,10 +221,16 @@ def full_run(
         (c.FACT_REPAYMENTS, lambda: silver.fact_repayments(stored), buckets),
         (c.DIM_DEFAULTERS, lambda: silver.dim_defaulters(stored), {}),
     ]
+
+    def write(table: str, made: Callable[[], DataFrame], how: dict) -> None:
+        write_table(made(), layout, table, **how)
+        if table == c.FACT_LOANS:
+            write_table(key_counts(read_table(spark, layout, table), "member_id"), layout, c.MEMBER_LOANS)
+
     # The four tables do not depend on each other, so their jobs share the cluster.
-    write = inheritable_thread_target(spark)(lambda table, made, how: write_table(made(), layout, table, **how))
+    write_one = inheritable_thread_target(spark)(write)
     with ThreadPoolExecutor(len(silver_tables)) as pool:
-        written = [pool.submit(write, table, made, how) for table, made, how in silver_tables]
+        written = [pool.submit(write_one, table, made, how) for table, made, how in silver_tables]
     for job in written:
         job.result()
     tables = {table: read_table(spark, layout, table) for table, _, _ in silver_tables}
@@ -233,7 +240,8 @@ def full_run(
     report.seconds["silver"] = time.monotonic() - start
 
     start = time.monotonic()
-    scores = gold.credit_risk_scores(*tables.values(), scoring, skew)
+    counts_of_members = read_table(spark, layout, c.MEMBER_LOANS)
+    scores = gold.credit_risk_scores(*tables.values(), scoring, skew, member_counts=counts_of_members)
     write_table(scores, layout, c.RISK_SCORES, **buckets)
     _count(report, {c.RISK_SCORES: read_table(spark, layout, c.RISK_SCORES)})
     report.seconds["gold"] = time.monotonic() - start

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loanrisk.config import ScoringConfig, SkewConfig
 from loanrisk.functions import scoring as s
-from loanrisk.operators.skew import SLICE, hot_keys, repeat_per_slice, scatter
+from loanrisk.operators.skew import SLICE, hot_counted, hot_keys, repeat_per_slice, scatter
 
 # The columns of the Gold table, in order.
 SCORE_COLUMNS = [
@@ -45,9 +45,14 @@ def _join_members(
     member_rows: DataFrame,
     sides: list[tuple[DataFrame, str]],
     config: SkewConfig,
+    member_counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Join facts with member tables in turn, slicing the members that are hot in `member_rows`."""
-    hot = hot_keys(member_rows, "member_id", config)
+    """Join facts with member tables in turn, slicing the members that are hot in `member_rows`, or
+    by `member_counts` if these are stored."""
+    if member_counts is None:
+        hot = hot_keys(member_rows, "member_id", config)
+    else:
+        hot = hot_counted(member_counts, "member_id", config)
     joined = scatter(facts, hot, "member_id", "loan_id", config)
     for side, how in sides:
         joined = joined.join(repeat_per_slice(side, hot, "member_id"), ["member_id", SLICE], how)
@@ -101,10 +106,13 @@ def gold_join(
     defaulters: DataFrame,
     config: SkewConfig = SkewConfig(),
     member_rows: DataFrame | None = None,
+    member_counts: DataFrame | None = None,
 ) -> DataFrame:
     """All four tables. Hot members are counted in the loans, or in `member_rows`: any table with
     `member_id` that has at least the rows of the loans and is cheaper to read, such as Bronze when
-    the loans are not stored yet."""
+    the loans are not stored yet. With `member_counts` (`key_counts` of the stored loans) nothing is
+    counted: the list of hot members reads that table only. Counts that are out of date cost speed,
+    never rows."""
     return _join_members(
         join_facts(loans, repayments),
         member_rows or loans,
@@ -113,6 +121,7 @@ def gold_join(
             (defaulters.drop("_transformed_at"), "left"),
         ],
         config,
+        member_counts,
     )
 
 
@@ -176,8 +185,9 @@ def credit_risk_scores(
     config: ScoringConfig = ScoringConfig(),
     skew: SkewConfig = SkewConfig(),
     member_rows: DataFrame | None = None,
+    member_counts: DataFrame | None = None,
 ) -> DataFrame:
-    joined = gold_join(customers, loans, repayments, defaulters, skew, member_rows)
+    joined = gold_join(customers, loans, repayments, defaulters, skew, member_rows, member_counts)
     return score(joined, config).select(
         *SCORE_COLUMNS, F.current_timestamp().alias("_scored_at")
     )

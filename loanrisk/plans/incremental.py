@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from loanrisk import config as c
 from loanrisk.functions.text import first_number
+from loanrisk.operators.skew import key_counts
 from loanrisk.plans import gold, silver
 from loanrisk.sources import files
 from loanrisk.sources.tables import read_parts, read_table, replace_parts, table_exists, write_table
@@ -105,6 +106,11 @@ def build_silver(
         else:
             write_table(with_part(made, parts), layout, table, mode="append", partition_by=[c.MEMBER_PART])
 
+    def loans() -> None:
+        facts(c.FACT_LOANS, silver.fact_loans(rows))
+        # Counted in the touched folders, of which the member column alone is read.
+        _put(key_counts(_get(spark, layout, c.FACT_LOANS, touched), "member_id"), layout, c.MEMBER_LOANS, parts, touched)
+
     def customers() -> None:
         versions = None
         if table_exists(spark, layout, c.DIM_CUSTOMERS):
@@ -126,7 +132,7 @@ def build_silver(
     jobs = [
         customers,
         defaulters,
-        lambda: facts(c.FACT_LOANS, silver.fact_loans(rows)),
+        loans,
         lambda: facts(c.FACT_REPAYMENTS, silver.fact_repayments(rows)),
     ]
     # The four chains do not depend on each other, so their jobs share the cluster.
@@ -168,5 +174,6 @@ def build_gold(
     """Scores of all parts or the touched ones. The facts of a scored loan name the same member, so
     both are in that member's part."""
     tables = silver_tables(spark, layout, touched)
-    scores = gold.credit_risk_scores(*[tables[name] for name in SILVER], scoring, skew)
+    counts = _get(spark, layout, c.MEMBER_LOANS, touched)
+    scores = gold.credit_risk_scores(*[tables[name] for name in SILVER], scoring, skew, member_counts=counts)
     _put(scores, layout, c.RISK_SCORES, parts, touched)

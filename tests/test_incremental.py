@@ -16,7 +16,7 @@ from loanrisk.sources.tables import read_parts, read_table, replace_parts
 SMALL = "/root/testdata/sf0.001"
 PARTS = 16
 DAYS = (date(2024, 1, 1), date(2024, 2, 1), date(2024, 3, 1))
-STORED = [*incremental.SILVER, c.RISK_SCORES, c.LATEST_CUSTOMERS, c.LATEST_DEFAULTERS]
+STORED = [*incremental.SILVER, c.RISK_SCORES, c.MEMBER_LOANS, c.LATEST_CUSTOMERS, c.LATEST_DEFAULTERS]
 
 
 def layout_at(path):
@@ -38,7 +38,7 @@ def append(spark, load, layout, day, parts=PARTS, **how):
 
 
 def same_tables(spark, ours, theirs):
-    for table in c.TABLE_LAYER:
+    for table in (*c.TABLE_LAYER, c.MEMBER_LOANS):
         a, b = read_table(spark, ours, table), read_table(spark, theirs, table)
         assert a.columns == b.columns
         kept = [name for name in a.columns if not name.startswith("_")]
@@ -74,7 +74,7 @@ def test_appends_equal_full_rebuilds_and_leave_other_parts_alone(spark, tmp_path
     assert {name for _, name in changed} == {f"{c.MEMBER_PART}={part}" for part in touched}
     assert {table for table, _ in changed} == set(STORED)
 
-    assert len(plans) == 5
+    assert len(plans) == 6
     for plan in plans:
         scans = [line for line in re.split("FileScan parquet", plan)[1:] if f"{c.MEMBER_PART}#" in line]
         assert scans

@@ -227,6 +227,39 @@ def test_gold_shuffles_the_facts_once_per_key(spark, stored):
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(is_current,true\)", plan)
 
 
+def test_stored_counts_spare_gold_a_scan_of_the_loans(spark, stored):
+    """The list of hot members is read from the counts written with the loans, and nothing is counted."""
+    layout, _, _ = stored
+    tables = silver_tables(stored)
+    counts = read_table(spark, layout, c.MEMBER_LOANS)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counted = gold.gold_join(*tables, member_counts=counts)
+        plan = physical(counted)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan)
+    assert sorted(re.sub(r"#\d+L?", "", k) for k in keys) == ["_paid_loan", "loan_id"] + ["member_id, _slice"] * 3
+    folders = re.findall(r"FileScan parquet[^\n]*?/(\w+)\]", plan)
+    assert folders.count(c.FACT_LOANS) == 1 and c.MEMBER_LOANS in folders
+    # The same rows in slices of one loan, by counts that fit and by counts that are out of date.
+    small = c.SkewConfig(slice_rows=1, max_hot_keys=1_000_000)
+    old = counts.where("row_count > 1").withColumn("row_count", F.lit(3).cast("long"))
+    assert not old.isEmpty()
+    plain = gold.gold_join(*tables)
+    for config, known in ((small, counts), (small, old), (small, counts.where("false"))):
+        sliced = gold.gold_join(*tables, config, member_counts=known)
+        assert sliced.exceptAll(plain).isEmpty() and plain.exceptAll(sliced).isEmpty()
+
+
+def test_stored_counts_are_those_of_the_loans(spark, stored):
+    layout, _, tables = stored
+    counts = read_table(spark, layout, c.MEMBER_LOANS)
+    theirs = tables[c.FACT_LOANS].groupBy("member_id").agg(F.count("*").alias("row_count"))
+    assert counts.columns == ["member_id", "row_count"]
+    assert counts.exceptAll(theirs).isEmpty() and theirs.exceptAll(counts).isEmpty()
+
+
 def test_bucketed_facts_join_without_a_shuffle(spark):
     layout = c.TableLayout(bronze="b_bronze", silver="b_silver", gold="b_gold")
     full_run.full_run(spark, raw_loans(spark, SMALL), layout, fact_buckets=4)
