@@ -100,9 +100,11 @@ class Block:
 
     def search(self, terms: np.ndarray, top: "Top", doc_ids: np.ndarray, known: np.ndarray) -> int:
         """Offer to `top` every document that can enter it; returns how many were scored."""
+        # A term that the block lacks is sorted to the place of another one, which may be the query's too.
         row = np.searchsorted(self.terms, terms)
-        row = row[row < len(self.terms)]
-        row = row[np.isin(self.terms[row], terms)]
+        inside = row < len(self.terms)
+        row, terms = row[inside], terms[inside]
+        row = row[self.terms[row] == terms]
         if not len(row):
             return 0
         base = row[:, None] * BLOCK_DOCS

@@ -94,6 +94,19 @@ def test_intervals_give_the_best_and_leave_documents_unread(monkeypatch, wave):
     assert scored < n_docs / 2
 
 
+def test_a_term_missing_from_a_block_does_not_count_another_twice(spark, monkeypatch):
+    monkeypatch.setattr(lexical_search, "BLOCK_DOCS", 2)
+    rows = [(k, t) for k, t in enumerate(["b b c", "b", "a d", "a c", "", "d a", "c", "b x y"], 1)]
+    queries = [(1, "a b"), (2, "c a b d"), (3, "x d c")]
+    asked = spark.createDataFrame(queries, "item_id int, text string")
+    out = lexical_search.best_documents(documents(spark, rows).coalesce(1), asked)
+    assert sorted(map(tuple, out.collect()), key=str) == ranked_by_brute_force(rows, queries, 50)
+    block = lexical_search.Block(np.array([2, 5]), np.array([1, 1]), np.array([0, 1]), np.array([7, 4]))
+    top = lexical_search.Top(10)
+    block.search(np.array([1, 2, 4, 5, 9]), top, np.arange(2), np.ones(2, dtype=bool))
+    assert top.docs.tolist() == [0, 1] and top.scores.tolist() == [7, 4]
+
+
 # ---- cutting-stock packing
 
 
