@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loanrisk.sources.raw_schema import RAW_COLUMNS, TEXT_COLUMNS
 
+#: Tasks that derive the records, for each core.
+TASKS_PER_CORE = 3
+
 # The expressions that define the test records.
 LOAN_EXPRESSIONS = {
     "id": (
@@ -135,6 +138,9 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
         "o_orderkey AS k", "o_custkey AS c", "o_orderdate AS d"
     )
+    # Three narrow columns become 118, and a scan has no more tasks than row groups: keys are spread over
+    # tasks first, in their order, which stored columns are smaller for.
+    orders = orders.repartitionByRange(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, "k")
     expressions = _select_list("STRING", "date_format(d, 'MMM-yyyy')")
     return orders.selectExpr(*[e.replace('"', "`") for e in expressions])
 

@@ -9,8 +9,9 @@ from __future__ import annotations
 import threading
 import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
@@ -123,6 +124,23 @@ def _check_gates(
     write_table(profile, layout, c.LOAD_PROFILES, mode="append")
 
 
+#: The JVM interprets methods of more bytes for ever; Spark then makes smaller ones, stage by stage.
+COMPILED_BYTES = 8000
+_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+
+@contextmanager
+def _compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """Plans started inside get methods that the JVM compiles: records are so wide that the single method
+    of a whole stage may be too long for it. A lower limit of the session stays."""
+    before = spark.conf.get(_METHOD_LIMIT)
+    spark.conf.set(_METHOD_LIMIT, str(min(int(before), COMPILED_BYTES)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_METHOD_LIMIT, before)
+
+
 def full_run(
     spark: SparkSession,
     raw: DataFrame,
@@ -149,7 +167,7 @@ def full_run(
 
     Each stage reads the stored result of the one before, so a lost executor costs a recomputation
     from stored files, never from the raw text: also the records of an append are written to the
-    shared folder before they are compared. Tables are swapped in whole (see `sources.tables`). With
+    shared folder before they are compared with a stored Bronze. Tables are swapped in whole (see `sources.tables`). With
     `validate`, Bronze is checked before Silver is built and Silver before Gold; a failed check raises
     `QualityError` and leaves the later tables as they were, and so does a load that fails its
     `gates`, which are compared with the last load that passed. Records whose line does not fit
@@ -163,6 +181,28 @@ def full_run(
     rebuilt if the last run did not end well or used another number. The tables equal those of a full
     rebuild. Only versions in touched folders are compared with the load's date.
     """
+    with _compiled_methods(spark):
+        return _run(spark, raw, layout, source_file, batch_ts, load_date, scoring, limits, skew, fact_buckets,
+                    append, validate, loan_partitions, gates, member_parts)
+
+
+def _run(
+    spark: SparkSession,
+    raw: DataFrame,
+    layout: c.TableLayout,
+    source_file: str,
+    batch_ts: datetime | None,
+    load_date: date | None,
+    scoring: c.ScoringConfig,
+    limits: c.QualityLimits,
+    skew: c.SkewConfig,
+    fact_buckets: int | None,
+    append: bool,
+    validate: bool,
+    loan_partitions: Sequence[str],
+    gates: c.LoadGates | None,
+    member_parts: int | None,
+) -> RunReport:
     report = RunReport()
     if member_parts is not None:
         incremental.check_layout(layout, member_parts)
@@ -181,24 +221,26 @@ def full_run(
         records, counts = _counted(raw)
     arriving = bronze.to_bronze(records, source_file, batch_ts)
     before = 0
-    if append:
+    later = append and table_exists(spark, layout, c.RAW_LOANS)
+    if later:
         arriving = load = staged(arriving, "loan-batch")
-        if table_exists(spark, layout, c.RAW_LOANS):
-            held = read_table(spark, layout, c.RAW_LOANS)
-            before = held.count()
-            arriving = new_rows(held, arriving, config=skew)
+        held = read_table(spark, layout, c.RAW_LOANS)
+        before = held.count()
+        arriving = new_rows(held, arriving, config=skew)
         if member_parts:
             arriving = staged(arriving, "new-loans")
-    write_table(arriving, layout, c.RAW_LOANS, mode="append" if append else "overwrite")
+    write_table(arriving, layout, c.RAW_LOANS, mode="append" if later else "overwrite")
     report.rows |= counts()
     stored = read_table(spark, layout, c.RAW_LOANS)
     _count(report, {c.RAW_LOANS: stored})
     report.rows[c.RAW_LOANS] -= before
+    if append and not later:
+        arriving = stored  # there was nothing to compare it with
     touched = incremental.touched_parts(arriving, member_parts) if append and complete else None
     if validate and touched != []:
         check_bronze(stored if touched is None else arriving)
     if gates:
-        _check_gates(spark, layout, load if append else stored, limits, gates)
+        _check_gates(spark, layout, load if later else stored, limits, gates)
     report.seconds["bronze"] = time.monotonic() - start
 
     if member_parts is not None:

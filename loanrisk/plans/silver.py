@@ -142,7 +142,9 @@ def _latest(
     order_column: str,
     tie_breakers: Sequence[str],
 ) -> DataFrame:
-    return without_ties(_newest(_candidates(bronze, columns, tie_breakers), key, order_column))
+    # Within a key, the raw column that is the key decides nothing: it is not shuffled a second time.
+    others = [raw for raw in tie_breakers if {**LOAN_COLUMNS, **REPAYMENT_COLUMNS}.get(key) != raw]
+    return without_ties(_newest(_candidates(bronze, columns, others), key, order_column))
 
 
 # ---- customers ---------------------------------------------------------------------------------

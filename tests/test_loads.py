@@ -203,3 +203,46 @@ def test_a_profile_is_one_pass(spark):
     assert lines["title"]["outside_count"] is None
     plan = profile.load_profile(raw, ["annual_inc", "title"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan parquet") == 1
+
+
+# ---- work of a load ----------------------------------------------------------------------------
+
+
+def test_records_are_derived_in_as_many_tasks_as_there_are_cores(spark):
+    raw = raw_loans(spark, SMALL)  # its orders are one row group
+    held = raw.select("url").withColumn("task", F.spark_partition_id()).groupBy("task").count()
+    assert held.count() >= spark.sparkContext.defaultParallelism
+
+
+def test_a_first_append_is_written_once(spark, tmp_path, monkeypatch):
+    purposes, real = [], full_run.staged
+    monkeypatch.setattr(full_run, "staged", lambda df, purpose: purposes.append(purpose) or real(df, purpose))
+    layout, raw = layout_at(tmp_path), raw_loans(spark, SMALL)
+    first = raw.where("CAST(url AS BIGINT) % 2 = 1")
+    report = full_run.full_run(spark, first, layout, append=True, gates=c.LoadGates())
+    assert purposes == [] and report.rows[c.RAW_LOANS] == bronze.to_bronze(first).count()
+    full_run.full_run(spark, raw, layout, append=True)
+    assert purposes == ["loan-batch"]
+    ids = read_table(spark, layout, c.RAW_LOANS).where("id is not null").select("id")
+    assert ids.exceptAll(bronze.to_bronze(raw).select("id")).isEmpty()
+
+
+def test_a_run_has_methods_that_the_jvm_compiles_and_leaves_the_session_alone(spark, monkeypatch):
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(name)
+
+    def run(*_):
+        seen.append(int(spark.conf.get(name)))
+        raise ValueError("stop")
+
+    monkeypatch.setattr(full_run, "_run", run)
+    with pytest.raises(ValueError, match="stop"):
+        full_run.full_run(spark, None, layout_at("/nowhere"))
+    assert seen == [8000] and spark.conf.get(name) == before
+
+
+def test_the_id_is_not_shuffled_twice(spark):
+    held = bronze.to_bronze(raw_loans(spark, SMALL))
+    for rows in (silver.latest_loans(held), silver.latest_repayments(held)):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "_tie_url" in plan and "_tie_id" not in plan
