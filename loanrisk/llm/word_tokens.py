@@ -34,7 +34,8 @@ MERGED = 100_000
 _LOWER = "a-zªµºß-öø-ÿĀ-ňŊ-ſ"
 _NUMBER = "0-9²³¹¼½¾"
 _SPACE = "\t-\r \x85\xa0"
-NOT_PLAIN = re.compile("[^\t-\r -~\xa0-įı-ňŊ-ſ]|<\\|")
+NOT_PLAIN = re.compile("[^\t-\r -~\xa0-įı-ňŊ-ſ]")  # a single class is searched fast
+SPECIAL = "<|"
 WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LOWER}]+|[{_NUMBER}]|[^{_SPACE}{_LOWER}{_NUMBER}]+")
 
 
@@ -84,7 +85,7 @@ class WordTokens:
         """Whether the text is encoded already, and its ids or else the numbers of its words."""
         if not text:
             return True, np.empty(0, dtype=self.dtype)
-        if NOT_PLAIN.search(text):
+        if SPECIAL in text or NOT_PLAIN.search(text):
             return True, np.array(self._library.encode(text, add_special_tokens=False).ids, dtype=self.dtype)
         return False, np.concatenate([self._words.numbers(self.cut(p)) for p in pieces(text)])
 

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -16,7 +17,7 @@ from tokenizers import Tokenizer
 from loanrisk.llm import byte_bpe, exact_dedup, packing, secret_scan, token_files, url_filter
 from loanrisk.llm.byte_tokens import VOCABULARY as BYTE_VOCABULARY
 from loanrisk.llm.byte_tokens import ByteTokens
-from loanrisk.llm.word_tokens import VOCABULARY, WordTokens
+from loanrisk.llm.word_tokens import NOT_PLAIN, VOCABULARY, WordTokens
 from tests.llm.helpers import documents
 
 LONG = "word and more words\n" * 60_000  # 1.2 million characters
@@ -309,6 +310,29 @@ def test_the_word_index_forgets_what_is_little_used():
         assert len(tokens._words._numbers) <= 50 and "cat" in tokens._words._numbers
 
 
+def test_telling_plain_texts_costs_little():
+    """One class is searched at once; with an alternative beside it, each character cost a trial."""
+    text = "some plain words, é and 12 numbers " * 20_000
+
+    def seconds(step):
+        times = []
+        for _ in range(5):
+            begin = time.process_time()
+            step(text)
+            times.append(time.process_time() - begin)
+        return min(times)
+
+    assert seconds(NOT_PLAIN.search) < 0.2 * seconds(ByteTokens.cut)
+
+
+@pytest.mark.parametrize("text", ["a <| b", "<|endoftext|>", "< | <b|", "|<", "a <|", "é<|x"])
+def test_special_marks_go_to_the_library(text):
+    for encoder, file in ((WordTokens(), VOCABULARY), (ByteTokens(), BYTE_VOCABULARY)):
+        expected = Tokenizer.from_file(file).encode(text, add_special_tokens=False).ids
+        assert [x.tolist() for x in encoder.encode([text])] == [expected]
+        assert encoder._waiting(text)[0] == ("<|" in text)
+
+
 def test_word_tokens_equal_the_library():
     rng = random.Random(4)
     signs = "aAbCÉéñ Ä'tsSLl123 \n\t.!?  -_=½µªßŉİſ\u00a0\u0301中"
