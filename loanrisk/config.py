@@ -98,6 +98,7 @@ class TableLayout:
 
     With `path` set, a table is the directory `<path>/<layer>/<table>`. Without it, the table is
     `[<catalog>.]<layer>.<table>` in the session catalog. `landing` is the folder raw files arrive in.
+    `compression` is the codec of Parquet tables; None leaves it to the session.
     """
 
     path: str | None = None
@@ -107,6 +108,7 @@ class TableLayout:
     silver: str = "silver"
     gold: str = "gold"
     fmt: str = "parquet"
+    compression: str | None = "zstd"
 
     def raw_file(self) -> str:
         if self.landing is None:

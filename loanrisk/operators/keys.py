@@ -37,6 +37,26 @@ def add_member_id(df: DataFrame) -> DataFrame:
     return df.withColumn("member_id", hashed_key(MEMBER_ATTRIBUTES))
 
 
+#: Bytes of a packed key; other texts are packed behind so many zeros and one more, so none is as long.
+HASH_BYTES = 32
+
+
+def packed_key(name: str) -> Column:
+    """A text key for an exchange: SHA-256 in hex as its bytes, half as long; any other text as it is,
+    behind zeros. Different texts stay different and null stays null; keys of one kind keep their order.
+    """
+    text, value = F.col(name), F.unhex(name)
+    is_hash = (F.length(text) == 2 * HASH_BYTES) & (F.lower(F.hex(value)) == text)
+    return F.when(is_hash, value).otherwise(F.concat(F.lit(bytes(HASH_BYTES + 1)), text.cast("binary")))
+
+
+def unpacked_key(name: str) -> Column:
+    """The text that `packed_key` has packed."""
+    value = F.col(name)
+    rest = F.substring(value, HASH_BYTES + 2, 2**31 - 1).cast("string")
+    return F.when(F.length(value) == HASH_BYTES, F.lower(F.hex(value))).otherwise(rest)
+
+
 def dedup_by_key(
     df: DataFrame,
     keys: Sequence[str],

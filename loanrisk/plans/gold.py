@@ -2,7 +2,8 @@
 
 The two facts meet first, on their unique loan key. Their rows then meet both member dimensions on
 the same (member, slice) key, so the second join needs no further exchange of the facts, and a
-member holding many loans is spread over several tasks (see `operators.skew`).
+member holding many loans is spread over several tasks (see `operators.skew`). The member key, which
+is in every one of these exchanges, travels packed (see `operators.keys`).
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from loanrisk.config import ScoringConfig, SkewConfig
 from loanrisk.functions import scoring as s
+from loanrisk.operators.keys import packed_key, unpacked_key
 from loanrisk.operators.skew import SLICE, hot_counted, hot_keys, repeat_per_slice, scatter
 
 # The columns of the Gold table, in order.
@@ -40,6 +42,14 @@ def current_customers(customers: DataFrame) -> DataFrame:
     return customers.where("is_current").drop("_transformed_at")
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("member_id", packed_key("member_id"))
+
+
+def _unpacked(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("member_id", unpacked_key("member_id"))
+
+
 def _join_members(
     facts: DataFrame,
     member_rows: DataFrame,
@@ -47,16 +57,16 @@ def _join_members(
     config: SkewConfig,
     member_counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Join facts with member tables in turn, slicing the members that are hot in `member_rows`, or
-    by `member_counts` if these are stored."""
+    """Join facts, whose member key is packed, with member tables in turn, slicing the members that are
+    hot in `member_rows`, or by `member_counts` if these are stored."""
     if member_counts is None:
-        hot = hot_keys(member_rows, "member_id", config)
+        hot = hot_keys(_packed(member_rows), "member_id", config)
     else:
-        hot = hot_counted(member_counts, "member_id", config)
+        hot = _packed(hot_counted(member_counts, "member_id", config))
     joined = scatter(facts, hot, "member_id", "loan_id", config)
     for side, how in sides:
-        joined = joined.join(repeat_per_slice(side, hot, "member_id"), ["member_id", SLICE], how)
-    return joined.drop(SLICE)
+        joined = joined.join(repeat_per_slice(_packed(side), hot, "member_id"), ["member_id", SLICE], how)
+    return _unpacked(joined.drop(SLICE))
 
 
 def join_loans_customers(
@@ -66,7 +76,7 @@ def join_loans_customers(
     member_rows: DataFrame | None = None,
 ) -> DataFrame:
     sides = [(current_customers(customers), "inner")]
-    return _join_members(loans.drop("_transformed_at"), member_rows or loans, sides, config)
+    return _join_members(_packed(loans.drop("_transformed_at")), member_rows or loans, sides, config)
 
 
 def join_defaulters(
@@ -77,7 +87,20 @@ def join_defaulters(
 ) -> DataFrame:
     """Left join: a member without default history keeps nulls, which score as a clean record."""
     sides = [(defaulters.drop("_transformed_at"), "left")]
-    return _join_members(facts.drop("_transformed_at"), member_rows or facts, sides, config)
+    return _join_members(_packed(facts.drop("_transformed_at")), member_rows or facts, sides, config)
+
+
+def _join_packed(loans: DataFrame, repayments: DataFrame) -> DataFrame:
+    """`join_facts`, its member key packed."""
+    left = _packed(loans.drop("monthly_installment", "_transformed_at"))
+    right = _packed(repayments.drop("_transformed_at")).withColumnRenamed("member_id", "_paying_member")
+    same_member = (F.col("member_id") <= F.col("_paying_member")) & (
+        F.col("member_id") >= F.col("_paying_member")
+    )
+    right = right.withColumnRenamed("loan_id", "_paid_loan")
+    return left.join(right, (F.col("loan_id") == F.col("_paid_loan")) & same_member).drop(
+        "_paid_loan", "_paying_member"
+    )
 
 
 def join_facts(loans: DataFrame, repayments: DataFrame) -> DataFrame:
@@ -88,15 +111,7 @@ def join_facts(loans: DataFrame, repayments: DataFrame) -> DataFrame:
     on both sides, and a table already partitioned or bucketed by it needs no exchange. The member
     is compared as an ordering test, which Spark leaves as a condition instead of a second key.
     """
-    left = loans.drop("monthly_installment", "_transformed_at")
-    right = repayments.drop("_transformed_at").withColumnRenamed("member_id", "_paying_member")
-    same_member = (F.col("member_id") <= F.col("_paying_member")) & (
-        F.col("member_id") >= F.col("_paying_member")
-    )
-    right = right.withColumnRenamed("loan_id", "_paid_loan")
-    return left.join(right, (F.col("loan_id") == F.col("_paid_loan")) & same_member).drop(
-        "_paid_loan", "_paying_member"
-    )
+    return _unpacked(_join_packed(loans, repayments))
 
 
 def gold_join(
@@ -114,7 +129,7 @@ def gold_join(
     counted: the list of hot members reads that table only. Counts that are out of date cost speed,
     never rows."""
     return _join_members(
-        join_facts(loans, repayments),
+        _join_packed(loans, repayments),
         member_rows or loans,
         [
             (current_customers(customers), "inner"),

@@ -31,7 +31,7 @@ from loanrisk.functions.text import (
     valid_state,
 )
 from loanrisk.operators.history import scd2_initial, scd2_merge
-from loanrisk.operators.keys import dedup_by_key
+from loanrisk.operators.keys import dedup_by_key, packed_key, unpacked_key
 from loanrisk.sources.shared_folder import staged
 
 TIE_BREAKERS = ("url", "id")
@@ -126,9 +126,12 @@ def _candidates(bronze: DataFrame, columns: Sequence[Column], tie_breakers: Sequ
 
 def _newest(candidates: DataFrame, key: str, order_column: str) -> DataFrame:
     """One row per key: the one with the highest `order_column`. The newest of the newest rows of two
-    sets are the newest of both, so stored ones can be compared with those of a later load."""
+    sets are the newest of both, so stored ones can be compared with those of a later load. The member
+    key travels packed."""
     ties = [name for name in candidates.columns if name.startswith(TIE)]
-    return dedup_by_key(candidates, [key], order_column, tie_breakers=ties)
+    packed = candidates.withColumn("member_id", packed_key("member_id"))
+    newest = dedup_by_key(packed, [key], order_column, tie_breakers=ties)
+    return newest.withColumn("member_id", unpacked_key("member_id"))
 
 
 def without_ties(rows: DataFrame) -> DataFrame:

@@ -19,6 +19,13 @@ from loanrisk.config import MEMBER_PART, TableLayout
 from loanrisk.sources import files
 
 
+def _writer(df: DataFrame, layout: TableLayout):
+    writer = df.write.format(layout.fmt)
+    if layout.fmt == "parquet" and layout.compression:
+        writer = writer.option("compression", layout.compression)
+    return writer
+
+
 def create_schemas(spark: SparkSession, layout: TableLayout) -> None:
     """Create the three layer schemas. Path layouts need none."""
     if layout.path is None:
@@ -45,7 +52,7 @@ def write_table(
         df = df.hint("rebalance", *partition_by)
     elif bucket_by:
         df = df.repartition(*bucket_by)
-    writer = df.write.mode(mode).format(layout.fmt)
+    writer = _writer(df, layout).mode(mode)
     if layout.fmt == "delta" and mode == "overwrite":
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
@@ -147,7 +154,7 @@ def replace_parts(df: DataFrame, layout: TableLayout, table: str, parts: Sequenc
     restore_table(spark, layout, table)
     new = f"{place.rpartition('/')[0]}/_{table}.{uuid.uuid4().hex}"
     try:
-        df.hint("rebalance", MEMBER_PART).write.partitionBy(MEMBER_PART).format(layout.fmt).save(new)
+        _writer(df.hint("rebalance", MEMBER_PART), layout).partitionBy(MEMBER_PART).save(new)
         for part in parts:
             folder, backup = f"{place}/{_part_folder(part)}", f"{place}/{_OLD_PART}{part}"
             files.delete(spark, backup)  # of an earlier swap that did not get to the end
@@ -167,6 +174,20 @@ def read_parts(spark: SparkSession, layout: TableLayout, table: str, parts: Sequ
     return rows if parts is None else rows.where(F.col(MEMBER_PART).isin(list(parts)))
 
 
+def file_names(spark: SparkSession, layout: TableLayout, table: str) -> list[str]:
+    """The data files of a Parquet table under a path that has no folders."""
+    return files.matching(spark, layout.locate(table), "*.parquet")
+
+
+def read_files(spark: SparkSession, layout: TableLayout, table: str, names: Sequence[str]) -> DataFrame:
+    """The rows of some data files of such a table."""
+    whole = read_table(spark, layout, table)
+    if not names:
+        return whole.limit(0)
+    place = layout.locate(table)
+    return spark.read.schema(whole.schema).format(layout.fmt).load([f"{place}/{name}" for name in names])
+
+
 def read_table(spark: SparkSession, layout: TableLayout, table: str) -> DataFrame:
     restore_table(spark, layout, table)
     if layout.path is None:

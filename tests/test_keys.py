@@ -67,3 +67,14 @@ def test_dedup_drops_rows_of_a_key_before_the_shuffle(spark):
     plan = keys.dedup_by_key(df, ["k"], "v")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
     assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+
+
+def test_packed_keys_come_back_and_stay_apart(spark):
+    texts = [None, "", "m1", "abc", "ab", "AB" * 32, "ab" * 32, "0" * 64, "z" * 64, "ab" * 31 + "a", "x" * 31,
+             "\x00" * 32, "é" * 16, " " + "a" * 63]
+    df = spark.createDataFrame([(t,) for t in texts], "k string").select("k", keys.packed_key("k").alias("p"))
+    rows = df.select("k", "p", keys.unpacked_key("p").alias("back")).collect()
+    assert all(r["k"] == r["back"] for r in rows)
+    packed = [bytes(r["p"]) for r in rows if r["p"] is not None]
+    assert len(set(packed)) == len(packed) == len(texts) - 1
+    assert {r["k"] for r in rows if r["p"] is not None and len(r["p"]) == 32} == {"ab" * 32, "0" * 64}

@@ -10,7 +10,7 @@ from loanrisk.plans.bronze import ingest_csv
 from loanrisk.sources.raw_files import add_audit_columns, read_raw_csv
 from loanrisk.sources.raw_schema import RAW_COLUMNS, RAW_LOAN_SCHEMA, TEXT_COLUMNS
 from loanrisk.sources.shared_folder import new_shared_folder
-from loanrisk.sources.tables import create_schemas, preview, read_table, write_table
+from loanrisk.sources.tables import create_schemas, file_names, preview, read_files, read_table, write_table
 
 GOOD = {"id": "1", "loan_amnt": "1000", "grade": "A", "annual_inc": "75000", "emp_title": "Nurse"}
 
@@ -106,6 +106,26 @@ def test_write_modes_and_partitions(spark, tmp_path):
     assert years == set()
 
 
+def test_parquet_tables_have_the_codec_of_their_layout(spark, tmp_path):
+    for codec, expected in (("zstd", "zstd"), ("gzip", "gz"), (None, "snappy")):
+        layout = TableLayout(path=str(tmp_path / str(codec)), compression=codec)
+        write_table(spark.range(9), layout, FACT_LOANS)
+        write_table(spark.range(9), layout, FACT_LOANS, mode="append")
+        names = [p.name for p in (tmp_path / str(codec)).glob("*/*/*.parquet")]
+        assert names and all(f".{expected}." in name for name in names)
+    assert TableLayout().compression == "zstd"
+
+
+def test_files_of_a_table_are_read_by_name(spark, tmp_path):
+    layout = TableLayout(path=str(tmp_path))
+    write_table(spark.range(3), layout, FACT_LOANS)
+    before = file_names(spark, layout, FACT_LOANS)
+    write_table(spark.range(3, 9), layout, FACT_LOANS, mode="append")
+    added = [name for name in file_names(spark, layout, FACT_LOANS) if name not in before]
+    assert sorted(r.id for r in read_files(spark, layout, FACT_LOANS, added).collect()) == list(range(3, 9))
+    assert read_files(spark, layout, FACT_LOANS, []).isEmpty()
+
+
 def test_catalog_tables(spark):
     layout = TableLayout(bronze="t_bronze", silver="t_silver", gold="t_gold")
     create_schemas(spark, layout)
