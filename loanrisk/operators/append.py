@@ -22,7 +22,9 @@ def new_rows(
     arriving = batch.select(key).where(F.col(key).isNotNull()).distinct()
     known = existing.select(key).distinct().join(arriving, key, "left_semi")
     hot = hot_keys(batch, key, config).select(key)
-    hot_known = hot.join(known.withColumn("_known", F.lit(True)), key, "left").select(
+    # The list is short, mostly empty: the table is looked through for it alone, and only if it has keys.
+    stored_hot = existing.select(key).join(F.broadcast(hot), key, "left_semi").distinct()
+    hot_known = hot.join(stored_hot.withColumn("_known", F.lit(True)), key, "left").select(
         key, F.coalesce("_known", F.lit(False)).alias("_known")
     )
     marked = batch.join(F.broadcast(hot_known), key, "left")

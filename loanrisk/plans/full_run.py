@@ -27,7 +27,7 @@ from loanrisk.operators.skew import key_counts
 from loanrisk.plans import bronze, gold, incremental, silver
 from loanrisk.sources.raw_files import CORRUPT, add_audit_columns
 from loanrisk.sources.shared_folder import new_shared_folder, staged
-from loanrisk.sources.tables import create_schemas, read_table, table_exists, write_table
+from loanrisk.sources.tables import create_schemas, file_names, read_files, read_table, table_exists, write_table
 
 
 @dataclass
@@ -227,8 +227,7 @@ def _run(
         held = read_table(spark, layout, c.RAW_LOANS)
         before = held.count()
         arriving = new_rows(held, arriving, config=skew)
-        if member_parts:
-            arriving = staged(arriving, "new-loans")
+        known_files = set(file_names(spark, layout, c.RAW_LOANS)) if member_parts else ()
     write_table(arriving, layout, c.RAW_LOANS, mode="append" if later else "overwrite")
     report.rows |= counts()
     stored = read_table(spark, layout, c.RAW_LOANS)
@@ -236,6 +235,9 @@ def _run(
     report.rows[c.RAW_LOANS] -= before
     if append and not later:
         arriving = stored  # there was nothing to compare it with
+    elif later and member_parts:  # the new loans are not written a second time, but read where they are
+        added = [name for name in file_names(spark, layout, c.RAW_LOANS) if name not in known_files]
+        arriving = read_files(spark, layout, c.RAW_LOANS, added)
     touched = incremental.touched_parts(arriving, member_parts) if append and complete else None
     if validate and touched != []:
         check_bronze(stored if touched is None else arriving)

@@ -11,6 +11,7 @@ from loanrisk.checks.loan_view import raw_loans
 from loanrisk.plans import bronze, full_run, incremental
 from loanrisk.sources import files
 from loanrisk.sources import tables as stored_tables
+from loanrisk.sources.shared_folder import staged
 from loanrisk.sources.tables import read_parts, read_table, replace_parts
 
 SMALL = "/root/testdata/sf0.001"
@@ -88,6 +89,27 @@ def test_appends_equal_full_rebuilds_and_leave_other_parts_alone(spark, tmp_path
     assert not read_table(spark, ours, c.DIM_CUSTOMERS).where("effective_date = date'2024-02-01'").isEmpty()
 
 
+def test_new_loans_are_written_once(spark, tmp_path, monkeypatch):
+    """Only the batch goes to the shared folder; Silver reads the new loans where Bronze keeps them."""
+    raw, layout, copies = raw_loans(spark, SMALL), layout_at(tmp_path), []
+    append(spark, early(raw), layout, DAYS[0])
+    known = set(stored_tables.file_names(spark, layout, c.RAW_LOANS))
+
+    def noted(df, purpose):
+        copies.append(purpose)
+        return staged(df, purpose)
+
+    seen = []
+    build = incremental.build_silver
+    monkeypatch.setattr(full_run, "staged", noted)
+    monkeypatch.setattr(incremental, "build_silver", lambda *a: (seen.append(a[2]), build(*a)))
+    append(spark, late(raw), layout, DAYS[1])
+    assert copies == ["loan-batch"]
+    added = {name for name in stored_tables.file_names(spark, layout, c.RAW_LOANS) if name not in known}
+    assert {name.rpartition("/")[2] for name in seen[0].inputFiles()} == added
+    assert seen[0].count() == read_table(spark, layout, c.RAW_LOANS).count() - early(raw).where(bronze.is_loan()).count()
+
+
 def test_an_append_of_known_loans_changes_nothing(spark, tmp_path):
     raw, layout = early(raw_loans(spark, SMALL)), layout_at(tmp_path)
     append(spark, raw, layout, DAYS[0])
