@@ -10,8 +10,10 @@ from __future__ import annotations
 import functools
 import re
 
+import numpy as np
 import public_tokenizers
 
+from loanrisk.llm.word_index import pieces
 from loanrisk.llm.word_tokens import WordTokens
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +40,9 @@ class ByteTokens(WordTokens):
     def cut(text: str) -> list[str]:
         return WORD.findall(text)
 
+    def _numbers(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.concatenate([self._words.numbers(self.cut(part)) for part in pieces(text)]) for text in texts]
+
 
 @functools.cache
 def worker_tokens(vocabulary: str = VOCABULARY) -> ByteTokens:

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 from loanrisk.llm import byte_bpe, exact_dedup, packing, secret_scan, token_files, url_filter
 from loanrisk.llm.byte_tokens import VOCABULARY as BYTE_VOCABULARY
 from loanrisk.llm.byte_tokens import ByteTokens
-from loanrisk.llm.word_tokens import NOT_PLAIN, VOCABULARY, WordTokens
+from loanrisk.llm.word_tokens import _LOWER, _NUMBER, _SPACE, NOT_PLAIN, VOCABULARY, WordTokens, cut_words
 from tests.llm.helpers import documents
 
 LONG = "word and more words\n" * 60_000  # 1.2 million characters
@@ -342,6 +342,30 @@ def test_word_tokens_equal_the_library():
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_cut_together_are_the_matches_of_the_pattern():
+    pattern = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LOWER}]+|[{_NUMBER}]|[^{_SPACE}{_LOWER}{_NUMBER}]+")
+    rng = random.Random(21)
+    plain = [chr(c) for c in range(0x180) if not NOT_PLAIN.search(chr(c))]
+    marks = [*"'" * 5, *"stmdrevlSTMD a\u00e9\u00c95\u00b2.,- \n\t\u00a0\u00d7\u00f7\u017f"]
+    for k in range(4000):
+        texts = ["".join(rng.choices(plain if k % 3 else marks, k=rng.randrange(12))) for _ in range(rng.randrange(5))]
+        words, counts = cut_words([text.lower().encode() for text in texts])
+        matches = [pattern.findall(text.lower()) for text in texts]
+        assert words.to_pylist() == [word for found in matches for word in found]
+        assert counts.tolist() == [len(found) for found in matches]
+
+
+def test_repeated_words_are_looked_up_once(monkeypatch):
+    tokens, looked_up = WordTokens(), []
+    numbers = tokens._words.numbers
+    monkeypatch.setattr(tokens._words, "numbers", lambda words: looked_up.extend(words) or numbers(words))
+    texts = ["the cat, the dog " * 500, None, "the dog's"] * 20
+    library = Tokenizer.from_file(VOCABULARY)
+    for text, ids in zip(texts, tokens.encode(texts)):
+        assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids
+    assert sorted(looked_up) == ["'s", ",", "cat", "dog", "the"]
+
+
 @pytest.mark.parametrize("high", [1, 2, 300, 2**16, 2**32 - 1])
 def test_block_round_trip(high):
     rng = np.random.Generator(np.random.PCG64(high))
