@@ -339,8 +339,8 @@ def pack_documents(
         ),
         "rests",
     )
+    # Counted twice, from two stored columns, rather than written: that would take a file from each task.
     per_task = pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
-    per_task = stored(per_task, "counts")
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     earlier = per_task.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
     # At most `capacity` rows.

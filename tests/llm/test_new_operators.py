@@ -12,6 +12,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from loanrisk.llm import cutting_stock, importance_resampling, lexical_search
@@ -302,6 +303,15 @@ def test_ngram_query(spark, corpus):
     assert sorted(map(tuple, QUERIES["op5_ngram_join"](spark, SMALL).select("doc_id", "n_shingles", "component_id").collect())) == want
 
 
+def test_cutting_stock_writes_its_pieces_only(spark, monkeypatch):
+    written, stored = [], cutting_stock.stored
+    monkeypatch.setattr(cutting_stock, "stored", lambda df, purpose: written.append(purpose) or stored(df, purpose))
+    docs = documents(spark, [(k, "some words " * (k * 37 % 400)) for k in range(40)]).repartition(5)
+    out = cutting_stock.pack_documents(docs)
+    assert out.agg(F.sum("length")).first()[0] == out.dropDuplicates(["doc_id"]).agg(F.sum("doc_tokens")).first()[0]
+    assert written == ["rests"]
+
+
 @pytest.mark.parametrize("name, file, end, capacity", [("op6_best_fit_packing", "word_bpe_49k.json", 1, 4096), ("op12_cutting_stock", "byte_bpe_50k.json", 0, 1024)])
 def test_packing_queries(spark, corpus, name, file, end, capacity):
     ids = encoded(corpus, file, end)
