@@ -10,7 +10,8 @@ lengths.
 
 The pieces themselves stay on the executors. A piece's number among those of its length is its
 number within the task that wrote it plus those of the tasks before; the plan, a small table, maps length and
-number to a sequence and a place.
+number to a sequence and a place. Only lengths are sorted for that; the pieces meet their places in one
+shuffle and are not sorted.
 """
 
 from __future__ import annotations
@@ -222,11 +223,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         return pd.DataFrame({"sequence_id": at[:, 0], "offset": at[:, 1]})
 
     within = F.row_number().over(Window.partitionBy("length", "_pack_task").orderBy("_pack_row")) - 1
-    return (
-        numbered.withColumn("_pack_number", within)
+    # Numbers are found without the other columns, such as the ids of the pieces; then rows meet their
+    # places one to one, and stream past them unsorted.
+    places = (
+        numbered.select("length", "_pack_task", "_pack_row")
+        .withColumn("_pack_number", within)
         .join(offsets, ["length", "_pack_task"])
-        .withColumn("_pack_at", place("length", F.col("_pack_number") + F.col("_pack_before")))
-        .select(*[F.col(f"`{c}`") for c in columns], "_pack_at.sequence_id", "_pack_at.offset")
+        .select("_pack_row", place("length", F.col("_pack_number") + F.col("_pack_before")).alias("_pack_at"))
+    )
+    return numbered.join(places.hint("shuffle_hash"), "_pack_row").select(
+        *[F.col(f"`{c}`") for c in columns], "_pack_at.sequence_id", "_pack_at.offset"
     )
 
 

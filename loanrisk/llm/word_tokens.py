@@ -25,7 +25,7 @@ from loanrisk.llm.word_index import WordIndex, id_type, pieces
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
-CHARS = 8_000_000
+CHARS = 4_000_000
 SLICE = 4_000
 #: Longer words are left to the library, which merges one word without looking at it whole each time.
 LONG = 500
@@ -39,7 +39,7 @@ _SPACE = "\t-\r \x85\xa0"
 NOT_PLAIN = re.compile("[^\t-\r -~\xa0-įı-ňŊ-ſ]")  # a single class is searched fast
 SPECIAL = "<|"
 #: Characters that are cut together.
-CUT = 4_000_000
+CUT = 1_000_000
 
 # The classes of lower-case plain characters, of which UTF-8 has at most two bytes.
 _SPACES, _LETTERS, _NUMBERS, _OTHERS = range(4)

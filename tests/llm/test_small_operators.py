@@ -446,6 +446,18 @@ def test_pack(spark):
     assert packing.pack(pieces.limit(0), capacity=100).count() == 0
 
 
+def test_pack_sorts_lengths_only(spark):
+    pieces = spark.createDataFrame([(n % 40 + 1, [n]) for n in range(500)], "length int, ids array<int>")
+    packed = packing.pack(pieces, 100)
+    assert packed_is_sound(packed.collect(), 100) and packed.count() == 500
+    above = []  # the nodes over the one at hand, by depth
+    for line in packed._jdf.queryExecution().executedPlan().toString().splitlines():
+        name = line.lstrip(" :+-")
+        above = [*above[: len(line) - len(name)], *[""] * (len(line) - len(name) - len(above)), name]
+        if "Scan" in name and "ids#" in name:
+            assert not [x for x in above if x.split("(")[0].split(" ")[0] in ("Sort", "Window", "ArrowEvalPython")]
+
+
 def test_pack_one_hot_length_and_bad_lengths(spark):
     many = spark.range(0, 20_000, 1, 7).select("id", F.lit(30).alias("length"), F.lit("x").alias("offset"))
     assert packed_is_sound(packing.pack(many, 100).collect(), 100) == -(-20_000 // 3)
